@@ -329,7 +329,7 @@ def combine_results(spark, sf):
 
 @query
 def combine_distances(spark, sf):
-    """Two mean distances per grouping, facts scanned once."""
+    """Two mean distances per grouping."""
     facts = table(spark, sf, "orders").select(
         roles.area_code("o_custkey").alias("code_insee"),
         roles.measure("o_totalprice").alias("urgence"),

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from maillage.functions.codes import NO_GROUPING, pad_code
 from maillage.functions.numbers import MEASURE
@@ -21,8 +22,15 @@ from maillage.plans.indicators import with_repaired_postcode
 from maillage.sources.schemas import RISKS
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is taken from the file footers once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def scratch(spark: SparkSession) -> str:

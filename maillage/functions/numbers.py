@@ -17,7 +17,7 @@ def to_double(col: Column) -> Column:
 
 def to_int(col: Column) -> Column:
     """Integer in a text; decimals round half away from zero instead of giving null."""
-    return F.round(to_double(col), 0).try_cast("int")
+    return _nearest(to_double(col)).try_cast("int")
 
 
 def to_measure(col: Column) -> Column:
@@ -37,6 +37,17 @@ def comma_number(col: Column) -> Column:
     return F.replace(text, F.lit(" %"), F.lit("")).try_cast("double")
 
 
+def _nearest(col: Column) -> Column:
+    """Nearest whole double, halves away from zero.
+
+    ``rint`` settles halves towards even; where that was downwards, one is added. All
+    in double arithmetic: ``round`` would build a decimal object per row.
+    """
+    size = F.abs(col)
+    even = F.rint(size)
+    return F.signum(col) * F.when(size - even == 0.5, even + 1.0).otherwise(even)
+
+
 def round_half(col: Column, digits: int) -> Column:
     """Round the scaled binary value, half away from zero.
 
@@ -44,7 +55,7 @@ def round_half(col: Column, digits: int) -> Column:
     scale-and-round on values such as 1.005 or 0.285.
     """
     power = F.lit(float(10**digits))
-    return F.round(col.cast("double") * power, 0) / power
+    return _nearest(col.cast("double") * power) / power
 
 
 def ratio(

@@ -9,37 +9,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def left_lookup(
+def spread_join(
     facts: DataFrame,
     table: DataFrame,
     *,
     keys: Sequence[tuple[Column, Column]],
-    take: Mapping[str, Column],
+    take: Mapping[str, Column] | None = None,
     needed: Column | None = None,
+    how: str = "left",
 ) -> DataFrame:
-    """LEFT JOIN on (fact expression, table expression) pairs, adding ``take``.
-
-    Rows with a null key, or rows for which ``needed`` is not true, cannot match.
-    They still have to go somewhere: a second join column holds 0 for rows that look
-    something up and a hash of the row for the others, so they are dealt out over all
-    partitions instead of meeting in the one that null hashes to. A key held by many
-    facts is left to the adaptive skew join, which splits the fact side.
+    """Equi join of facts with a table (left, inner, left_semi or left_anti) that no
+    single key can pile up in one task. Adds the table's ``take`` columns.
+
+    Rows with a null key, or for which ``needed`` is not true, cannot match, yet a plain
+    join sends them all to the partition of null. Here a hash is a second join column:
+    of the keys for rows that look something up, of the whole row and its input
+    partition for the others, which deals them out. (A constant would not do: the
+    optimizer takes constants out of the join keys.)
+
+    The second column also keeps the join from reusing the partitioning of an
+    aggregated table. Both sides then come straight out of a shuffle, the form in which
+    the adaptive skew join can split a key that many facts share.
     """
+    for fact_key, table_key in keys:
+        left_type = facts.select(fact_key).schema[0].dataType
+        right_type = table.select(table_key).schema[0].dataType
+        if left_type != right_type:
+            raise TypeError(f"join keys differ in type: {left_type} and {right_type}")
     names = [f"_key{i}" for i in range(len(keys))]
     wanted = reduce(lambda a, b: a & b, [k.isNotNull() for k, _ in keys])
     if needed is not None:
         wanted = wanted & F.coalesce(needed, F.lit(False))
+    hashable = [c for c, t in facts.dtypes if "map<" not in t and t != "variant"]
     left = facts.select(
         "*",
         *[F.when(wanted, k).alias(n) for n, (k, _) in zip(names, keys)],
-        F.when(wanted, F.lit(0)).otherwise(F.xxhash64(*facts.columns)).alias("_deal"),
+        F.when(wanted, F.xxhash64(*[k for k, _ in keys]))
+        .otherwise(F.xxhash64(*hashable, F.spark_partition_id()))
+        .alias("_deal"),
     )
     right = table.select(
         *[k.alias(n) for n, (_, k) in zip(names, keys)],
-        F.lit(0).cast("long").alias("_deal"),
-        *[c.alias(n) for n, c in take.items()],
+        F.xxhash64(*[k for _, k in keys]).alias("_deal"),
+        *[c.alias(n) for n, c in (take or {}).items()],
     )
-    return left.join(right, [*names, "_deal"], "left").drop(*names, "_deal")
+    return left.join(right, [*names, "_deal"], how).drop(*names, "_deal")
 
 
 def first_match(table: DataFrame, key: str, value: str) -> DataFrame:
@@ -67,7 +81,7 @@ def fill_missing(
     target becomes null, or stays as it is with ``keep_unmatched``.
     """
     fact_key, lookup_key = key
-    found = left_lookup(
+    found = spread_join(
         facts,
         first_match(lookup, lookup_key, value),
         keys=[(F.col(fact_key), F.col(lookup_key))],
@@ -89,7 +103,7 @@ def match_by_name_and_prefix(
     length: int = 2,
 ) -> DataFrame:
     """LEFT JOIN on equal names and equal first characters of a code."""
-    return left_lookup(
+    return spread_join(
         facts,
         areas,
         keys=[
@@ -102,13 +116,21 @@ def match_by_name_and_prefix(
 
 def keep_members(df: DataFrame, column: str, members: DataFrame, key: str) -> DataFrame:
     """Rows whose value occurs among the members."""
-    return df.join(members, df[column] == members[key], "left_semi")
+    return _by_members(df, column, members, key, "left_semi")
 
 
 def drop_members(df: DataFrame, column: str, members: DataFrame, key: str) -> DataFrame:
     """Rows whose value does not occur among the members; null values are kept,
     and a null among the members empties nothing (unlike NOT IN)."""
-    return df.join(members, df[column] == members[key], "left_anti")
+    return _by_members(df, column, members, key, "left_anti")
+
+
+def _by_members(
+    df: DataFrame, column: str, members: DataFrame, key: str, how: str
+) -> DataFrame:
+    """Repeated members are removed before the join, on the map side already."""
+    once = members.select(key).distinct()
+    return spread_join(df, once, keys=[(F.col(column), F.col(key))], how=how)
 
 
 def keep_by_rules(

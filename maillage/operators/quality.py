@@ -16,8 +16,8 @@ def reconcile(left: DataFrame, left_key: str, right: DataFrame, right_key: str)
     would build only to throw them away, and a key repeated on both sides costs
     nothing.
     """
-    left_only = drop_members(left, left_key, right.select(right_key).distinct(), right_key)
-    right_only = drop_members(right, right_key, left.select(left_key).distinct(), left_key)
+    left_only = drop_members(left, left_key, right, right_key)
+    right_only = drop_members(right, right_key, left, left_key)
     return left_only.unionByName(right_only, allowMissingColumns=True)
 
 

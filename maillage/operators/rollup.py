@@ -131,5 +131,10 @@ def distinct_counts(
 
 def any_values(df: DataFrame, *keys: str, columns: Sequence[str]) -> DataFrame:
     """Some non-null value of each column per key; the smallest one, so that two runs
-    over the same rows agree."""
-    return totals_by(df, *keys, **{c: F.min(c) for c in columns})
+    over the same rows agree.
+
+    Minima of strings make Spark sort its input. Columns that depend on the key take few
+    values, so the combinations are made distinct by hashing first.
+    """
+    combos = df.select(*keys, *columns).distinct()
+    return totals_by(combos, *keys, **{c: F.min(c) for c in columns})

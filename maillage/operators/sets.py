@@ -18,5 +18,9 @@ def stack(*frames: DataFrame) -> DataFrame:
 
 
 def key_difference(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
-    """Distinct values of the left column that the right one lacks."""
-    return left.select(left_key).subtract(right.select(right_key))
+    """Distinct values of the left column that the right one lacks.
+
+    Both sides are made distinct first: the comparison then moves one row per value
+    instead of every repetition.
+    """
+    return left.select(left_key).distinct().subtract(right.select(right_key).distinct())

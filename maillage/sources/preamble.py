@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maillage.functions.text import contains_any
+from maillage.operators.lookup import spread_join
 
 # Words that give the header away, and how far to look for it.
 HEADER_KEYWORDS = ("Code commune INSEE", "Commune")
@@ -34,7 +35,14 @@ def data_lines(
     lines: DataFrame, headers: DataFrame, *, file: str = "file", line_no: str = "line_no"
 ) -> DataFrame:
     """The lines after the header of their file. ``headers`` has one row per file."""
-    return lines.join(headers, file).where(F.col(line_no) > F.col("header_row"))
+    placed = spread_join(
+        lines,
+        headers,
+        keys=[(F.col(file), F.col(file))],
+        take={"header_row": F.col("header_row")},
+        how="inner",
+    )
+    return placed.where(F.col(line_no) > F.col("header_row"))
 
 
 def read_after_header(
@@ -95,7 +103,14 @@ def _first_split(lines: DataFrame) -> GroupedData:
 
 def _rows_after(lines: DataFrame, ids: DataFrame, schema: T.StructType, sep: str) -> DataFrame:
     after = (F.col("_block") > 0) | (F.col("_id") - F.col("_start") > F.col("_header"))
-    body = lines.join(ids, "file").where(after & (F.trim("value") != ""))
+    placed = spread_join(
+        lines,
+        ids,
+        keys=[(F.col("file"), F.col("file"))],
+        take={"_start": F.col("_start"), "_header": F.col("_header")},
+        how="inner",
+    )
+    body = placed.where(after & (F.trim("value") != ""))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     row = F.from_csv("value", columns, {"sep": sep})
     return body.select("file", row.alias("row")).select("file", "row.*")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions.text import year_in
+from maillage.operators.lookup import spread_join
 
 
 def latest_labels(df: DataFrame, *, dataset: str, label: str) -> DataFrame:
@@ -17,4 +18,6 @@ def latest_labels(df: DataFrame, *, dataset: str, label: str) -> DataFrame:
 
 def latest_snapshot(df: DataFrame, *, dataset: str, label: str) -> DataFrame:
     """The rows of each data set's latest label."""
-    return df.join(latest_labels(df, dataset=dataset, label=label), [dataset, label], "left_semi")
+    picks = latest_labels(df, dataset=dataset, label=label)
+    keys = [(F.col(dataset), F.col(dataset)), (F.col(label), F.col(label))]
+    return spread_join(df, picks, keys=keys, how="left_semi")
