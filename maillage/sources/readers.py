@@ -42,19 +42,13 @@ def read_latin1(spark: SparkSession, path: str, schema: Schema, *, sep: str = ";
 
 
 def read_positional(
-    spark: SparkSession, path: str, positions: Mapping[int, str], *, sep: str = ";", skip: str = ""
+    spark: SparkSession, path: str, positions: Mapping[int, str], *, sep: str = ";"
 ) -> DataFrame:
-    """Columns by position out of a file without usable header, as strings.
-
-    ``skip`` names the text a line to leave out starts with (a metadata line).
-    """
-    lines = spark.read.text(path)
-    if skip:
-        lines = lines.where(~F.col("value").startswith(skip))
-    width = max(positions) + 1
-    row = F.from_csv("value", ", ".join(f"_c{i} string" for i in range(width)), {"sep": sep})
-    parsed = lines.select(row.alias("row"))
-    return parsed.select(*[F.col(f"row._c{i}").alias(n) for i, n in positions.items()])
+    """Columns by position, as strings. The first line of a file is left out unread: it
+    holds no column names."""
+    numbered = text_schema(*[f"_c{i}" for i in range(max(positions) + 1)])
+    rows = spark.read.schema(numbered).csv(path, header=True, sep=sep)
+    return rows.select(*[F.col(f"_c{i}").alias(n) for i, n in positions.items()])
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ",") -> DataFrame:
