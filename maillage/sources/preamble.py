@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maillage.functions.text import contains_any
 from maillage.operators.lookup import spread_join
+from maillage.sources.lines import first_split, numbered_lines, rows_after
 
 # Words that give the header away, and how far to look for it.
 HEADER_KEYWORDS = ("Code commune INSEE", "Commune")
@@ -58,18 +59,14 @@ def read_after_header(
     """Delimited files with any number of lines before the header.
 
     ``schema`` lists the columns in file order; the file name comes along as ``file``.
-
-    No file is gathered in one task to number its lines. The scan hands out the lines
-    of a split in order and the generated id counts them up, so in a file's first split
-    the line number is the distance to the smallest id. The window in which a header
-    may stand lies in that split. Per file only two ids are aggregated.
+    The window in which a header may stand lies in a file's first split.
     """
-    lines = _numbered_lines(spark, path, encoding)
+    lines = numbered_lines(spark, path, encoding)
     hit = F.when(contains_any(F.col("value"), keywords), F.col("_id"))
-    ids = _first_split(lines).agg(F.min("_id").alias("_start"), F.min(hit).alias("_hit"))
+    ids = first_split(lines).agg(F.min("_id").alias("_start"), F.min(hit).alias("_hit"))
     distance = F.col("_hit") - F.col("_start")
     header = F.when(distance < window, distance).otherwise(F.lit(0))
-    return _rows_after(lines, ids.select("file", "_start", header.alias("_header")), schema, sep)
+    return rows_after(lines, ids.select("file", "_start", header.alias("_header")), schema, sep)
 
 
 def read_skipping(
@@ -82,35 +79,6 @@ def read_skipping(
     encoding: str = "UTF-8",
 ) -> DataFrame:
     """Delimited files with a fixed number of lines before the header."""
-    lines = _numbered_lines(spark, path, encoding)
-    ids = _first_split(lines).agg(F.min("_id").alias("_start"), F.lit(skip).alias("_header"))
-    return _rows_after(lines, ids, schema, sep)
-
-
-def _numbered_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    lines = spark.read.option("encoding", encoding).text(path)
-    return lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.col("value"),
-    )
-
-
-def _first_split(lines: DataFrame) -> GroupedData:
-    return lines.where(F.col("_block") == 0).groupBy("file")
-
-
-def _rows_after(lines: DataFrame, ids: DataFrame, schema: T.StructType, sep: str) -> DataFrame:
-    after = (F.col("_block") > 0) | (F.col("_id") - F.col("_start") > F.col("_header"))
-    placed = spread_join(
-        lines,
-        ids,
-        keys=[(F.col("file"), F.col("file"))],
-        take={"_start": F.col("_start"), "_header": F.col("_header")},
-        how="inner",
-    )
-    body = placed.where(after & (F.trim("value") != ""))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    row = F.from_csv("value", columns, {"sep": sep})
-    return body.select("file", row.alias("row")).select("file", "row.*")
+    lines = numbered_lines(spark, path, encoding)
+    ids = first_split(lines).agg(F.min("_id").alias("_start"), F.lit(skip).alias("_header"))
+    return rows_after(lines, ids, schema, sep)

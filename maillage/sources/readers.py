@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Schema = T.StructType | str
+from maillage.sources.lines import CORRUPT, first_split, numbered_lines, rows_after
 
-CORRUPT = "_corrupt_record"
+Schema = T.StructType | str
 
 
 def text_schema(*columns: str) -> T.StructType:
@@ -51,18 +51,24 @@ def read_positional(
     return rows.select(*[F.col(f"_c{i}").alias(n) for i, n in positions.items()])
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ",") -> DataFrame:
-    """Delimited file whose malformed lines are skipped."""
-    return spark.read.schema(schema).csv(path, header=True, sep=sep, mode="DROPMALFORMED")
+def read_quarantined(
+    spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ","
+) -> DataFrame:
+    """Delimited file in which malformed lines stay, in a column of their own.
+
+    Every line has to stand on its own: quoted line breaks are not supported.
+    """
+    lines = numbered_lines(spark, path)
+    ids = first_split(lines).agg(F.min("_id").alias("_start"), F.lit(0).alias("_header"))
+    return rows_after(lines, ids, schema, sep, corrupt=True).drop("file")
 
 
-def read_quarantined(
+def read_tolerant(
     spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ","
 ) -> DataFrame:
-    """As ``read_tolerant``, but malformed lines stay, in a column of their own."""
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(wide).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.csv(path, header=True, sep=sep, mode="PERMISSIVE")
+    """As ``read_quarantined``, but malformed lines are skipped."""
+    rows = read_quarantined(spark, path, schema, sep=sep)
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def read_active(
