@@ -241,7 +241,7 @@ built AS (
   SELECT epci_code, COUNT(*) AS n_communes, COUNT(DISTINCT dep_code) AS n_departements,
          COUNT(DISTINCT reg_code) AS n_regions,
          CAST(SUM(population) AS BIGINT) AS population,
-         CAST(SUM(km2) AS DOUBLE) AS km2
+         CAST(SUM(km2) * 100 AS DOUBLE) AS ha, CAST(SUM(km2) AS DOUBLE) AS km2
   FROM commune WHERE epci_code LIKE '2%' GROUP BY epci_code
 ),
 enriched AS (
@@ -495,7 +495,7 @@ FROM dim LEFT JOIN surface ON epci_code = id_epci LEFT JOIN n ON n.siren = id_ep
 WITH {COMMUNE}
 SELECT code_insee, nom_standard, LOWER(nom_standard) AS nom_sans_accent, reg_code,
        LOWER(reg_code) AS reg_nom, dep_code, dep_nom, epci_code, epci_nom, population,
-       CAST(km2 * 100 AS DECIMAL(24,6)) AS superficie_hectare, km2 AS superficie_km2,
+       CAST(km2 * 100 AS DOUBLE) AS superficie_hectare, CAST(km2 AS DOUBLE) AS superficie_km2,
        ABS(c_acctbal) AS densite_hab_km2
 FROM commune JOIN customer USING (c_custkey)
 """,
@@ -509,8 +509,8 @@ WITH {COMMUNE}
 SELECT epci_code AS siren, epci_nom, COUNT(*) AS n_communes,
        COUNT(DISTINCT dep_code) AS n_departements, COUNT(DISTINCT reg_code) AS n_regions,
        CAST(SUM(population) AS BIGINT) AS population,
-       CAST(SUM(km2) * 100 AS DECIMAL(38,6)) AS superficie_hectare,
-       SUM(km2) AS superficie_km2,
+       CAST(SUM(km2) * 100 AS DOUBLE) AS superficie_hectare,
+       CAST(SUM(km2) AS DOUBLE) AS superficie_km2,
        ROUND(SUM(population) / NULLIF(CAST(SUM(km2) AS DOUBLE), 0), 2) AS densite_hab_km2
 FROM commune WHERE epci_code LIKE '2%' GROUP BY epci_code, epci_nom
 """,
@@ -521,8 +521,7 @@ SELECT dept, siren,
          || LPAD(CAST((10000 + 1234 * n_nationkey) % 1000 AS VARCHAR), 3, '0') AS total_pop_tot,
        CAST(10000 + 1234 * n_nationkey AS VARCHAR) AS total_pop_mun,
        n_communes, n_departements, n_regions,
-       CAST(km2 * 100 AS DECIMAL(24,2)) AS superficie_hectare,
-       CAST(km2 AS DECIMAL(24,2)) AS superficie_km2,
+       ha AS superficie_hectare, km2 AS superficie_km2,
        ROUND(population / NULLIF(km2, 0), 2) AS densite_hab_km2
 FROM enriched
 """,
@@ -530,8 +529,7 @@ FROM enriched
 WITH {ENRICHED}
 SELECT dept, s_name AS epci_nom, '2' || LPAD(CAST(s_nationkey AS VARCHAR), 8, '0') AS siren,
        s_acctbal AS potentiel_fiscal, n_departements AS nb_departements, n_regions AS nb_regions,
-       CAST(km2 * 100 AS DECIMAL(24,2)) AS superficie_hectare,
-       CAST(km2 AS DECIMAL(24,2)) AS superficie_km2
+       ha AS superficie_hectare, km2 AS superficie_km2
 FROM supplier LEFT JOIN enriched ON n_nationkey = s_nationkey
 """,
     "group_year_dept_key": """

@@ -172,7 +172,7 @@ def ind_childcare_coverage(spark, sf):
 def _associations(spark: SparkSession, sf: str, repair: bool) -> Indicator:
     communes = roles.communes(spark, sf)
     national = indicators.national_associations(
-        roles.associations(spark, sf), communes, repair=repair
+        roles.associations(spark, sf), communes, repair=repair, distinct=False
     )
     regional = indicators.regional_associations(roles.regional_register(spark, sf), communes)
     return indicators.association_density(national, regional, roles.membership(spark, sf))
@@ -266,9 +266,15 @@ def health_access_sages_femmes(spark, sf):
 # --- dimensions --------------------------------------------------------------------
 
 
+def _doubles(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles, the form in which results are compared."""
+    decimals = [c for c, t in df.dtypes if t.startswith("decimal")]
+    return df.withColumns({c: F.col(c).cast("double") for c in decimals})
+
+
 @query
 def dim_communes(spark, sf):
-    return dimensions.commune_dimension(roles.communes(spark, sf))
+    return _doubles(dimensions.commune_dimension(roles.communes(spark, sf)))
 
 
 @query
@@ -279,7 +285,7 @@ def dim_outside_groupings(spark, sf):
 
 @query
 def dim_build(spark, sf):
-    return dimensions.grouping_dimension(roles.communes(spark, sf))
+    return _doubles(dimensions.grouping_dimension(roles.communes(spark, sf)))
 
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,7 +295,7 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def full_then_group(spark, sf):
-    return _enriched(spark, sf)
+    return _doubles(_enriched(spark, sf))
 
 
 @query
@@ -303,17 +309,12 @@ def dim_enrich(spark, sf):
         F.lit(0.0).alias("Superficie"),
         F.col("s_suppkey").alias("Siren membre"),
     )
-    return dimensions.fiscal_table(fiscal, _enriched(spark, sf))
+    return _doubles(dimensions.fiscal_table(fiscal, _enriched(spark, sf)))
 
 
 @query
 def group_year_dept_key(spark, sf):
-    return dimensions.substance_by_year(roles.substance_rows(spark, sf)).select(
-        "annee",
-        "dept",
-        "siren",
-        F.col("total_quantite_substance").cast("double").alias("total_quantite_substance"),
-    )
+    return _doubles(dimensions.substance_by_year(roles.substance_rows(spark, sf)))
 
 
 @query
@@ -666,9 +667,10 @@ def header_detect(spark, sf):
     """Documents as files: header line, and number and length of the lines after it."""
     lines = roles.document_lines(spark, sf)
     headers = preamble.header_rows(lines, keywords=("the ", "la ", "der "))
-    after = preamble.data_lines(lines, headers)
+    sizes = lines.select("file", "line_no", F.length("value").alias("size"))
+    after = preamble.data_lines(sizes, headers)
     return after.groupBy(F.col("file").alias("doc_id"), "header_row").agg(
-        F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars")
+        F.count("*").alias("n_lines"), F.sum("size").alias("n_chars")
     )
 
 

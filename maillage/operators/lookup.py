@@ -74,23 +74,31 @@ def fill_missing(
     value: str,
     missing: Column,
     keep_unmatched: bool = False,
+    bypass: bool = False,
 ) -> DataFrame:
     """Replace ``target`` where ``missing`` holds by the first match of the key.
 
     ``key`` names the column in the facts and in the lookup. Without a match the
     target becomes null, or stays as it is with ``keep_unmatched``.
+
+    The facts are read once. If the lookup is too large to be broadcast they are also
+    shuffled once; ``bypass`` then joins only the rows that lack the value and lets the
+    others pass without a shuffle, at the price of a second scan. It pays when few rows
+    lack the value.
     """
     fact_key, lookup_key = key
+    lacking = F.coalesce(missing, F.lit(False))
     found = spread_join(
-        facts,
+        facts.where(lacking) if bypass else facts,
         first_match(lookup, lookup_key, value),
         keys=[(F.col(fact_key), F.col(lookup_key))],
         take={"_found": F.col(value)},
-        needed=missing,
+        needed=lacking,
     )
     new = F.coalesce("_found", target) if keep_unmatched else F.col("_found")
-    filled = F.when(missing, new).otherwise(F.col(target))
-    return found.withColumn(target, filled).drop("_found")
+    filled = found.withColumn(target, F.when(lacking, new).otherwise(F.col(target)))
+    filled = filled.drop("_found")
+    return facts.where(~lacking).unionByName(filled) if bypass else filled
 
 
 def match_by_name_and_prefix(

@@ -215,21 +215,22 @@ def located_media(
 ) -> DataFrame:
     """Media of the directory with the commune they belong to, without repetition.
 
-    Both sides lose their duplicates before the join, so copies of an entry are
-    never multiplied with the communes of that name.
+    Copies of an entry go before the join, so they are never multiplied with the
+    communes of that name.
     """
     media = entries.select("nom_media", map_values(F.col("ville"), cities).alias("ville"))
     places = communes.where(~F.col("epci_code").like("Z%")).select(
         "code_insee", "nom_standard", "dep_code", "epci_code", "epci_nom"
     )
-    joined = places.distinct().join(media.distinct(), F.col("nom_standard") == F.col("ville"))
-    return keep_by_rules(
+    joined = places.join(media.distinct(), F.col("nom_standard") == F.col("ville"))
+    kept = keep_by_rules(
         joined.drop("ville"),
         place="nom_standard",
         area="dep_code",
         allowed=departments,
         special=_city_exceptions() if exceptions is None else exceptions,
     )
+    return kept.distinct()
 
 
 def independent_media(located: DataFrame, dependent: DataFrame, name: str = "Nom") -> DataFrame:
@@ -333,14 +334,16 @@ def childcare_coverage(records: DataFrame, membership: DataFrame) -> Indicator:
 
 
 def national_associations(
-    registry: DataFrame, communes: DataFrame, *, repair: bool = True
+    registry: DataFrame, communes: DataFrame, *, repair: bool = True, distinct: bool = True
 ) -> DataFrame:
     """Active associations of the national register that can be placed in a commune.
 
     Columns id, adrs_codeinsee, adrs_codepostal. A missing commune code comes from the
     postcode; the broken postcodes of one Paris district are rewritten with its commune
     code; other postcodes starting with 00 are looked up by the commune code
-    (``repair``), and rows still at 00000 afterwards are dropped.
+    (``repair``), and rows still at 00000 afterwards are dropped. Repeated rows are
+    removed after the first step, unless ``distinct`` is off because the result goes
+    into a union that removes them anyway.
     """
     code, postcode = F.col("adrs_codeinsee"), F.col("adrs_codepostal")
     placed = registry.where(
@@ -356,7 +359,9 @@ def national_associations(
         target="adrs_codeinsee",
         value="code_insee",
         missing=code.isNull() | (code == "0"),
-    ).distinct()
+    )
+    if distinct:
+        filled = filled.distinct()
 
     # a row without postcode is in neither branch, one without code only in the first
     broken = postcode.like("00%")

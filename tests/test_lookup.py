@@ -64,6 +64,7 @@ def test_fill_missing(frame, communes, rows):
         (5, None, None),
         (6, "09009", None),
     ]
+    assert rows(fill(facts, communes, bypass=True)) == rows(fill(facts, communes))
     kept = rows(fill(facts, communes, keep_unmatched=True))
     assert kept[2] == (3, "02001", "02100") and kept[3] == (4, None, "99999")
 
