@@ -53,7 +53,7 @@ def area_code(key: str) -> Column:
 
 def postcode_number(key: str) -> Column:
     """Ten neighbouring areas share a postcode."""
-    return F.lit(1000) + (F.floor(F.col(key) / 10) * 613) % 95000
+    return F.expr(f"1000 + ({key} div 10) * 613 % 95000")
 
 
 def postcode(key: str) -> Column:
@@ -83,7 +83,7 @@ def raw_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    name = F.concat(F.lit("Commune "), F.floor(F.col("c_custkey") / 3))
+    name = F.concat(F.lit("Commune "), F.expr("c_custkey div 3"))
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -256,19 +256,19 @@ def risks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def associations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a national register with missing and broken codes."""
-    rank = F.left("o_orderpriority", F.lit(1))
+    rank = F.col("o_orderpriority")
     status, price = F.col("o_orderstatus"), F.col("o_totalprice")
-    paris = (rank == "3") & (status == "F")
+    paris = (rank == "3-MEDIUM") & (status == "F")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(status == "P", F.lit("D")).otherwise(F.lit("A")).alias("position"),
-        F.when(rank == "1", F.lit(None))
-        .when(rank == "2", F.lit("0"))
+        F.when(rank == "1-URGENT", F.lit(None))
+        .when(rank == "2-HIGH", F.lit("0"))
         .when(paris, F.lit("75112"))
         .otherwise(area_code("o_custkey"))
         .alias("adrs_codeinsee"),
-        F.when((rank == "4") & (status == "O"), F.lit("00000"))
-        .when((rank == "5") & (status == "O"), F.lit("00123"))
+        F.when((rank == "4-NOT SPECIFIED") & (status == "O"), F.lit("00000"))
+        .when((rank == "5-LOW") & (status == "O"), F.lit("00123"))
         .when(paris & (price < 250_000), F.lit("00012"))
         .when(price < 50_000, F.lit(None))
         .otherwise(postcode("o_custkey"))
@@ -278,7 +278,7 @@ def associations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regional_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a regional register that knows communes by name."""
-    name = F.concat(F.lit("COMMUNE "), F.floor(F.col("user_id") / 3))
+    name = F.concat(F.lit("COMMUNE "), F.expr("user_id div 3"))
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("E"), "event_id").alias("NUMERO_AMALIA"),
         name.alias("COMMUNE"),

@@ -26,10 +26,10 @@ def as_code(col: Column) -> Column:
 def pad_code(col: Column, width: int) -> Column:
     """Zero-pad on the left; a code that is already long enough is left whole.
 
-    ``lpad`` alone would cut longer codes, hence the guard.
+    ``lpad`` cuts longer codes to the width, hence the larger of the two lengths.
     """
     text = as_code(col)
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def repair_postcode(col: Column, width: int = 5) -> Column:
