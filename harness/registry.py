@@ -395,7 +395,7 @@ def rounded_values(spark, sf):
 @query
 def null_pattern(spark, sf):
     """Cells with an annotation nulled, then the non-null cells of each column counted."""
-    risks = codes.null_where_matches(roles.risks(spark, sf))
+    risks = codes.null_where_matches(roles.risks(spark, sf), "^N/A.*")
     return risks.agg(*[F.count(c).alias(c) for c in risks.columns])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,8 @@ NO_GROUPING = "ZZZZZZZZZ"
 # Texts that stand for a missing code.
 MISSING_MARKERS = ("nan", "<NA>", "NaN", "Nan", "0", "0.0", "", "INSEE", "commune")
 
-# Fixed pattern: annotated "not available" cells.
-NOT_AVAILABLE = "^N/A.*"
+# Fixed value: how annotated "not available" cells start.
+NOT_AVAILABLE = "N/A"
 
 
 def as_code(col: Column) -> Column:
@@ -65,11 +65,21 @@ def map_values(col: Column, mapping: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), col), col)
 
 
-def null_where_matches(df: DataFrame, pattern: str = NOT_AVAILABLE) -> DataFrame:
-    """Null every text cell that matches the pattern, over all columns."""
+def null_where_matches(df: DataFrame, pattern: str) -> DataFrame:
+    """Null every text cell in which the pattern is found, over all columns."""
+    return _null_cells(df, lambda cell: cell.rlike(pattern))
+
+
+def null_where_starts(df: DataFrame, prefix: str = NOT_AVAILABLE) -> DataFrame:
+    """Null every text cell that starts with the prefix, over all columns. The same as
+    the pattern ``^prefix`` without running a regular expression per cell."""
+    return _null_cells(df, lambda cell: cell.startswith(prefix))
+
+
+def _null_cells(df: DataFrame, unwanted: Callable[[Column], Column]) -> DataFrame:
     return df.select(
         *[
-            F.when(~F.col(f.name).rlike(pattern), F.col(f.name)).alias(f.name)
+            F.when(~unwanted(F.col(f.name)), F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f.name)
             for f in df.schema.fields

@@ -129,12 +129,19 @@ def distinct_counts(
     return totals_by(combos, *keys, **outer)
 
 
-def any_values(df: DataFrame, *keys: str, columns: Sequence[str]) -> DataFrame:
-    """Some non-null value of each column per key; the smallest one, so that two runs
-    over the same rows agree.
+def combinations(df: DataFrame, *columns: str) -> DataFrame:
+    """The combinations that occur, found by hashing.
 
-    Minima of strings make Spark sort its input. Columns that depend on the key take few
-    values, so the combinations are made distinct by hashing first.
+    A plain ``distinct`` below a minimum or maximum is taken out by the optimizer, and
+    those of strings and structs then sort all rows. The count is there to keep the
+    two steps apart.
     """
-    combos = df.select(*keys, *columns).distinct()
-    return totals_by(combos, *keys, **{c: F.min(c) for c in columns})
+    counted = totals_by(df, *columns, _rows=F.count(F.lit(1)))
+    return counted.where(F.col("_rows") > 0).drop("_rows")
+
+
+def any_values(df: DataFrame, *keys: str, columns: Sequence[str]) -> DataFrame:
+    """Some non-null value of each column per key; the smallest one, so that two runs
+    over the same rows agree. Meant for columns that depend on the key and so take few
+    values."""
+    return totals_by(combinations(df, *keys, *columns), *keys, **{c: F.min(c) for c in columns})

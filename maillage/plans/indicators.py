@@ -16,7 +16,7 @@ from maillage.functions.codes import (
     first_token,
     in_grouping,
     map_values,
-    null_where_matches,
+    null_where_starts,
     pad_code,
     repair_postcode,
 )
@@ -315,7 +315,7 @@ def risk_count(
     categories: Sequence[str] = RISKS,
 ) -> Indicator:
     """i119: number of risk types present."""
-    cells = null_where_matches(risks.select("code_insee", *categories))
+    cells = null_where_starts(risks.select("code_insee", *categories))
     facts = cells.withColumn("code_insee", pad_code(F.col("code_insee"), 5))
     inside = communes.where(in_grouping(F.col("epci_code"))).select("code_insee", "epci_code")
     values = presence_score(

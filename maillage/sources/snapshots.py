@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from maillage.functions.text import year_in
 from maillage.operators.lookup import spread_join
+from maillage.operators.rollup import combinations
 
 
 def latest_labels(df: DataFrame, *, dataset: str, label: str) -> DataFrame:
-    """Per data set the label with the highest year in it, else the smallest label."""
+    """Per data set the label with the highest year in it, else the smallest label.
+
+    The choice is made among the labels, not among all rows.
+    """
     year = year_in(F.col(label))
     newest = F.max(F.when(year.isNotNull(), F.struct(year.alias("year"), F.col(label))))
-    return df.groupBy(dataset).agg(F.coalesce(newest[label], F.min(label)).alias(label))
+    labels = combinations(df, dataset, label)
+    return labels.groupBy(dataset).agg(F.coalesce(newest[label], F.min(label)).alias(label))
 
 
 def latest_snapshot(df: DataFrame, *, dataset: str, label: str) -> DataFrame:
