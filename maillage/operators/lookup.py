@@ -43,7 +43,10 @@ def spread_join(
     hashable = [c for c, t in facts.dtypes if "map<" not in t and t != "variant"]
     left = facts.select(
         "*",
-        *[F.when(wanted, k).alias(n) for n, (k, _) in zip(names, keys)],
+        *[
+            (k if needed is None else F.when(wanted, k)).alias(n)
+            for n, (k, _) in zip(names, keys)
+        ],
         F.when(wanted, F.xxhash64(*[k for k, _ in keys]))
         .otherwise(F.xxhash64(*hashable, F.spark_partition_id()))
         .alias("_deal"),
