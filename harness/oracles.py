@@ -760,6 +760,9 @@ GROUP BY lang
 }
 
 
+ORACLES["fill_first_match_bypass"] = ORACLES["fill_first_match"]
+
+
 def _null_pattern() -> str:
     """Thirteen columns of the same form: cheap orders are not available."""
     names = (

@@ -458,8 +458,7 @@ def line_lengths(spark, sf):
 # --- lookups -----------------------------------------------------------------------
 
 
-@query
-def fill_first_match(spark, sf):
+def _filled(spark: SparkSession, sf: str, bypass: bool) -> DataFrame:
     rows = roles.associations(spark, sf).select("id", "adrs_codeinsee", "adrs_codepostal")
     code = F.col("adrs_codeinsee")
     return lookup.fill_missing(
@@ -469,9 +468,21 @@ def fill_first_match(spark, sf):
         target="adrs_codeinsee",
         value="code_insee",
         missing=code.isNull() | (code == "0"),
+        bypass=bypass,
     )
 
 
+@query
+def fill_first_match(spark, sf):
+    return _filled(spark, sf, bypass=False)
+
+
+@query
+def fill_first_match_bypass(spark, sf):
+    """The same rows; those with a code are not shuffled."""
+    return _filled(spark, sf, bypass=True)
+
+
 @query
 def national_associations(spark, sf):
     return indicators.national_associations(

@@ -1,6 +1,8 @@
 """Lookups: filling, matching, members and rules."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from maillage.operators.lookup import (
@@ -12,6 +14,7 @@ from maillage.operators.lookup import (
     match_by_name_and_prefix,
     spread_join,
 )
+from tests.conftest import SESSION
 
 MISSING = F.col("insee").isNull() | (F.col("insee") == "0")
 
@@ -149,6 +152,25 @@ def test_rules(frame, rows):
     ]
 
 
+PAIRS = st.lists(
+    st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None])), max_size=10
+)
+
+
+@settings(max_examples=5, deadline=None)
+@given(PAIRS, PAIRS)
+def test_spread_join_is_the_plain_join(left, right):
+    facts = SESSION.createDataFrame(left, "k string, n int")
+    table = SESSION.createDataFrame(right, "t string, m int")
+    same = (F.col("k") == F.col("t")) & (F.col("n") == F.col("m"))
+    keys = [(F.col("k"), F.col("t")), (F.col("n"), F.col("m"))]
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        take = {"m": F.col("m")} if how in ("left", "inner") else None
+        got = spread_join(facts, table, keys=keys, take=take, how=how)
+        want = facts.join(table, same, how).select(got.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def skew_settings(spark, **changes):
     old = {k: spark.conf.get(k, None) for k in changes}
     for k, v in changes.items():
