@@ -295,7 +295,8 @@ def pesticide_intensity(
         q=F.sum("q"),
     )
     members = membership.select("siren", F.col("insee").alias("code_insee"))
-    yearly = mean_per_year(members.join(per_area, "code_insee"), key="siren", year="annee", measure="q")
+    bought = members.join(per_area, "code_insee")
+    yearly = mean_per_year(bought, key="siren", year="annee", measure="q")
     picked = F.col("date_mesure").startswith("2020") if measured is None else measured
     hectares = farm_area.where(~F.col("geocode_epci").like("Z%") & picked).select(
         "geocode_epci", round_half(F.col("valeur").try_cast("double"), 2).alias("sau_ha")
