@@ -81,8 +81,8 @@ class Words:
 
     def joined(self) -> pa.Array:
         """Each text's words joined by one space."""
-        lists = pa.LargeListArray.from_arrays(pa.array(self.offsets), self.flat)
-        return pc.binary_join(lists, " ")
+        lists = pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), self.flat.cast(pa.string()))
+        return pc.binary_join(lists, " ").cast(pa.large_string())
 
 
 def gathered(parts: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> list[bytes]:

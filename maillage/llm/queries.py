@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillage.llm import bpe, packing
+from maillage.llm import bpe, packing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(packing.pieces(documents, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of all documents."""
+    found = simhash.grouped(simhash.fingerprints(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     documents = table(spark, sf_dir, "documents")
@@ -29,6 +35,7 @@ def op8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op5_simhash": op5_simhash,
     "op8_encode": op8_encode,
 }
 
