@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillage.llm import bpe, packing, simhash
+from maillage.llm import bpe, packing, simhash, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,20 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(packing.pieces(documents, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages that already stand earlier."""
+    found = substrings.thinned(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model that never saw the held-out quarter."""
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    found = toxicity.scored(documents.select("doc_id", "text", "lang"), model)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), toxicity.flagged(found, model).alias("flagged"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of all documents."""
     found = simhash.grouped(simhash.fingerprints(table(spark, sf_dir, "documents")))
@@ -35,6 +49,8 @@ def op8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op2_substrings": op2_substrings,
+    "op3_toxicity": op3_toxicity,
     "op5_simhash": op5_simhash,
     "op8_encode": op8_encode,
 }
