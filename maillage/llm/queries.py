@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillage.llm import bpe, packing, simhash, substrings, toxicity
+from maillage.llm import bpe, packing, simhash, sketches, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), toxicity.flagged(found, model).alias("flagged"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    return sketches.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of all documents."""
     found = simhash.grouped(simhash.fingerprints(table(spark, sf_dir, "documents")))
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_substrings": op2_substrings,
     "op3_toxicity": op3_toxicity,
+    "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
     "op8_encode": op8_encode,
 }
