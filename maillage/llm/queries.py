@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillage.llm import bpe, packing, simhash, sketches, substrings, toxicity
+from maillage.llm import bpe, packing, simhash, sketches, substrings, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,20 @@ def op8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, and read back through the capture index."""
+    captures = warc.written(table(spark, sf_dir, "pages"))
+    blocks, _ = warc.indexed(captures)
+    found = warc.records(warc.opened(blocks))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest codes of every vector whose id is divisible by 20, among all."""
+    found = topk.codes(table(spark, sf_dir, "embeddings"))
+    return topk.nearest(found, found.where("vec_id % 20 = 0"), 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_substrings": op2_substrings,
@@ -59,6 +73,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
     "op8_encode": op8_encode,
+    "op9_warc": op9_warc,
+    "op10_nearest": op10_nearest,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages
+        ), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+        SELECT page_id, n::BIGINT AS payload_bytes, p.d AS payload_digest,
+               CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM p LEFT JOIN f ON p.d = f.d
+    """,
+    "op10_nearest": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, [x > 0 FOR x IN embedding] AS bits
+            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        ), d AS (
+            SELECT q.vec_id AS query_id, o.vec_id,
+                   list_sum([(z[1] <> z[2])::INTEGER FOR z IN list_zip(q.bits, o.bits)])::INTEGER AS distance
+            FROM v q, v o WHERE q.vec_id % 20 = 0 AND o.vec_id <> q.vec_id
+        )
+        SELECT query_id, rank, vec_id, distance
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank FROM d)
+        WHERE rank <= 10
+    """,
+}
