@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillage.llm import bpe, packing, simhash, sketches, substrings, topk, toxicity, warc
+from maillage.llm import bpe, chat, licenses, packing, simhash, sketches, substrings, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages without quotes, with what they answer and their place in reply order."""
+    return chat.conversations(table(spark, sf_dir, "conversations"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of all documents, with the confirmed paragraphs."""
+    documents = table(spark, sf_dir, "documents")
+    found = licenses.scanned(documents, licenses.train(documents))
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda f: f["family"]))), ",")
+    return found.select("doc_id", "n_paragraphs", families.alias("families"), F.size("found").alias("n_licenses"), F.transform("found", lambda f: f["paragraph"]).alias("paragraphs"))
+
+
 def op8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again."""
     documents = table(spark, sf_dir, "documents")
@@ -72,12 +85,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash": op5_simhash,
+    "op6_quotations": op6_quotations,
+    "op7_licenses": op7_licenses,
     "op8_encode": op8_encode,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_substrings": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+        ), p AS (
+            SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i, len(ws) AS n, ws FROM d
+        ), k AS (
+            SELECT doc_id, w, i, CASE WHEN i + 19 <= n THEN list_aggregate(ws[i:i + 19], 'string_agg', ' ') END AS k FROM p
+        ), g AS (
+            SELECT doc_id, w, i, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS goes FROM k
+        ), c AS (
+            SELECT doc_id, w, i, max(goes) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS covered FROM g
+        ), r AS (
+            SELECT doc_id, count(*) FILTER (covered) AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (NOT covered) AS kept FROM c GROUP BY doc_id
+        )
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN r USING (doc_id)
+    """,
     "op9_warc": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages

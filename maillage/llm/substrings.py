@@ -39,6 +39,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from maillage.llm.common import Words, ship, slices, stored
 
@@ -350,6 +351,22 @@ def doubled(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     return gone.groupBy("key", mark).agg(F.collect_list("place").alias("places"))
 
 
+def take_out(texts: pa.Array, places: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of each text, how many go, and the others joined by a space."""
+    words = Words(texts)
+    row = pc.list_parent_indices(places).to_numpy()
+    start, n = _unplace(pc.list_flatten(places).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = words.offsets[row] + start
+    change = np.zeros(len(words.flat) + 1, dtype=np.int64)
+    np.add.at(change, begin, 1)
+    np.add.at(change, begin + n + length - 1, -1)
+    stays = np.cumsum(change)[:-1] == 0
+    counts = np.diff(words.offsets)
+    left = np.concatenate(([0], np.cumsum(stays)))[words.offsets]
+    words.flat, words.offsets = words.flat.filter(pa.array(stays)), left
+    return counts, counts - np.diff(left), words.joined().cast(pa.string())
+
+
 def thinned(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows (key, n_words, n_removed, kept): the words left of each document, joined by a space."""
     ship(df.sparkSession)
@@ -359,22 +376,29 @@ def thinned(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                words = Words(part.column("text"))
-                lists = part.column("places")
-                row = pc.list_parent_indices(lists).to_numpy()
-                start, n = _unplace(pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-                begin = words.offsets[row] + start
-                change = np.zeros(len(words.flat) + 1, dtype=np.int64)
-                np.add.at(change, begin, 1)
-                np.add.at(change, begin + n + length - 1, -1)
-                stays = np.cumsum(change)[:-1] == 0
-                counts = np.diff(words.offsets)
-                left = np.concatenate(([0], np.cumsum(stays)))[words.offsets]
-                words.flat, words.offsets = words.flat.filter(pa.array(stays)), left
-                removed = counts - np.diff(left)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(counts), pa.array(removed), words.joined().cast(pa.string())], ["key", "n_words", "n_removed", "kept"])
+                counts, removed, kept = take_out(part.column("text"), part.column("places"), length)
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(counts), pa.array(removed), kept], ["key", "n_words", "n_removed", "kept"])
 
     out = docs.join(doubled(docs, length, gram), ["key", "mark"], "left").select("key", "text", "places").mapInArrow(work, "key long, n_words long, n_removed long, kept string")
     return out.select(F.when(F.col("key") != LAST_KEY, F.col("key")).cast(kind).alias(key), "n_words", "n_removed", "kept")
 
 
+def cleaned(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", key: str = "doc_id", chars: str = "n_chars") -> DataFrame:
+    """The table with repeated passages taken out of its texts: the words left, joined by
+    a space, where something went (`chars`: code points of the new text); as it is elsewhere."""
+    ship(df.sparkSession)
+    names, own = df.columns, keyed(df, text, key)
+    rows = df.select(F.struct(*names).alias("row"), *(F.coalesce(df[key].cast("long"), F.lit(LAST_KEY)).alias("key"), F.pmod(F.xxhash64(df[text]), F.lit(1 << 32)).alias("mark")))
+    met = rows.join(doubled(own, length, gram), ["key", "mark"], "left").select(F.col(f"row.{text}").alias("text"), "places", "row")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                _, removed, kept = take_out(part.column("text"), part.column("places"), length)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(removed > 0), kept], ["row", "less", "kept"])
+
+    out = met.mapInArrow(work, T.StructType([T.StructField("row", df.schema), T.StructField("less", T.BooleanType()), T.StructField("kept", T.StringType())]))
+    new = {text: F.when(F.col("less"), F.col("kept")).otherwise(F.col(f"row.{text}"))}
+    if chars in names:
+        new[chars] = F.when(F.col("less"), F.length("kept").cast("long")).otherwise(F.col(f"row.{chars}"))
+    return out.select(*(new.get(n, F.col(f"row.{n}")).alias(n) for n in names))
