@@ -6,14 +6,16 @@ equal parts, and a cell holds how many digests it got, the exclusive or of them,
 exclusive or of a second hash of each. Sketches of two versions subtract cell by cell:
 what both have cancels. A cell left with one digest gives it away (its second hash
 agrees); taking that digest out of its other cells frees more cells, until all differing
-digests are recovered or nothing is free: then both sketches are built again, four times
-as large, up to MOST_CELLS.
+digests are recovered.
 
-So that a sketch has to hold a few digests only, whatever the length of the text, digests
-are dealt by their hash over as many groups as the texts ask for, and each group has its
-own sketch; likeness is the Jaccard coefficient of the digest sets, from the numbers of
-digests and of recovered differences. The fingerprint itself is one base sketch over all
-digests of the text, of fixed size, so equal texts have equal fingerprints.
+Sketches for comparing are sized by the numbers of digests. They are rows (document,
+comparison, part, cell), made and subtracted by one aggregation of signed digests. Peeling
+takes the parts in turn: a digest lies in one cell of a part only, so the free cells of a
+part can all be taken out by one more aggregation. The few sketches that don't come out
+are built again in their document's row, twice as large at least, and four times as large
+each time that fails. Likeness is the Jaccard coefficient of the digest sets, from the
+numbers of digests and of recovered differences. The fingerprint itself is a base sketch
+of CELLS cells over all digests of the text, so equal texts have equal fingerprints.
 
 Everything is DataFrame work: no Python runs on executors. Texts are shuffled once, by
 ranges of their ids; all that follows stays in that partitioning.
@@ -30,14 +32,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASHES = 3
-#: Cells of the first sketch, and of the largest that is tried.
+#: Cells of a base sketch, and of the largest that is tried.
 CELLS, MOST_CELLS = 12, 12 * 4**6
-#: Rounds of peeling, at most.
-ROUNDS = 12
-#: Expected digests of a group.
-GROUP = 4
+#: Steps of peeling by rows (each takes one part), and rounds of peeling within a row.
+STEPS, ROUNDS = 15, 24
 #: Words of a paragraph at most.
-WORDS = 6
+WORDS = 10
 #: Rows in a range of ids, about, and ranges at most (beyond, they get larger and spill).
 RANGE_ROWS, MOST_RANGES = 2000, 4096
 FIRST_KEY = -(1 << 63)
@@ -110,26 +110,75 @@ def peeled(cells: Column, size: Column) -> Column:
 
 
 def difference(a: Column, b: Column, cells: int = CELLS, most: int = MOST_CELLS) -> Column:
-    """(ok, mine, other) of two digest sets by their sketches, retried larger on failure."""
+    """(ok, mine, other) of two digest sets by their sketches, built in a row; retried
+    larger on failure."""
     sizes = [cells]
     while sizes[-1] < most:
         sizes.append(sizes[-1] * 4)
     none = F.struct(F.lit(False).alias("ok"), F.lit(0).alias("mine"), F.lit(0).alias("other"))
+    tried = F.filter(F.array(*map(F.lit, sizes)), lambda z: (z >= 2 * (F.size(a) + F.size(b))) | (z == sizes[-1]))
 
     def attempt(result: Column, size: Column) -> Column:
         return F.when(result["ok"], result).otherwise(peeled(subtracted(sketch(a, size), sketch(b, size)), size))
 
-    return F.aggregate(F.array(*map(F.lit, sizes)), none, attempt)
+    return F.aggregate(tried, none, attempt)
 
 
-def fingerprint(values: Column) -> Column:
-    """The base sketch over all digests, as text: for each cell its count and its digests' exclusive or."""
-    cells = sketch(values, F.lit(CELLS))
-    return F.array_join(F.transform(cells, lambda c: F.concat(F.lower(F.hex(c["n"])), F.lit("."), F.lpad(F.lower(F.hex(c["x"])), 16, "0"))), ":")
+def cell_of(digest: Column, part: int, cells: Column) -> Column:
+    """A digest's cell in a part of `cells` cells."""
+    return (F.shiftrightunsigned(digest, 16 * part).bitwiseAND(F.lit(0xFFFF)) % cells).cast("int")
+
+
+def fingerprints(items: DataFrame) -> DataFrame:
+    """(range, row, fingerprint, edited_fingerprint): for each cell of the base sketch its
+    count and its digests' exclusive or, as text."""
+    per = CELLS // HASHES
+    cells = [(cell_of(F.col("d"), j, F.lit(per)) == i) for j in range(HASHES) for i in range(per)]
+    sides = {"fingerprint": F.col("side") == 0, "edited_fingerprint": F.col("side") == 1}
+    sums = []
+    for name, side in sides.items():
+        for k, cell in enumerate(cells):
+            sums += [F.count_if(side & cell).alias(f"{name}{k}n"), F.bit_xor(F.when(side & cell, F.col("d")).otherwise(F.lit(0).cast("long"))).alias(f"{name}{k}x")]
+    text = {name: F.concat_ws(":", *(F.concat(F.lower(F.hex(f"{name}{k}n")), F.lit("."), F.lpad(F.lower(F.hex(f"{name}{k}x")), 16, "0")) for k in range(CELLS))) for name in sides}
+    return items.groupBy("range", "row").agg(*sums).select("range", "row", *(v.alias(k) for k, v in text.items()))
+
+
+def compared(items: DataFrame, steps: int = STEPS) -> DataFrame:
+    """(range, row, edit, next): (left, mine, other) of the sketches' differences: cells
+    that did not come out, digests of the text only, digests of the other version only."""
+    keys = ["range", "row", "way", "cells", "part", "cell"]
+    sums = [F.sum("n").cast("int").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c"), F.sum("mine").cast("int").alias("mine"), F.sum("other").cast("int").alias("other")]
+    zero, none = F.lit(0).cast("long"), F.lit(0)
+
+    def row(way: Column, cells: Column, part: Column, cell: Column, n: Column, x: Column, c: Column, mine: Column = none, other: Column = none) -> Column:
+        numbers = {"way": way, "cells": cells, "part": part, "cell": cell, "n": n, "x": x, "c": c, "mine": mine, "other": other}
+        return F.struct(*(v.cast("long" if k in "xc" else "int").alias(k) for k, v in numbers.items()))
+
+    def spread(rows: DataFrame, items: Column) -> DataFrame:
+        return rows.select("range", "row", F.explode(items).alias("r")).select("range", "row", "r.*").groupBy(*keys).agg(*sums)
+
+    d, full = F.col("d"), "part < 0 or n <> 0 or x <> 0 or c <> 0"
+    into = lambda way, n: [row(F.lit(way), F.col(f"cells{way}"), F.lit(j), cell_of(d, j, F.col(f"cells{way}")), F.lit(n), d, F.col("c")) for j in range(HASHES)]
+    placed = F.when(F.col("side") == 0, F.array(*into(0, 1), *into(1, 1))).when(F.col("side") == 1, F.array(*into(0, -1))).otherwise(F.array(*into(1, -1)))
+    cells = spread(items.withColumn("c", second(d)), placed)
+    way, size, n, x, c = (F.col(k) for k in ("way", "cells", "n", "x", "c"))
+    own = F.array(row(way, size, F.col("part"), F.col("cell"), n, x, c, F.col("mine"), F.col("other")))
+    counted = row(way, size, F.lit(-1), none, none, zero, zero, (n == 1).cast("int"), (n == -1).cast("int"))
+    for step in range(steps):
+        part = step % HASHES
+        free = (F.col("part") == part) & (F.abs(n) == 1) & (second(x) == c)
+        out_of = [row(way, size, F.lit(j), cell_of(x, j, size), -n, x, c) for j in range(HASHES) if j != part]
+        cells = spread(cells.where(full), F.when(free, F.array(*out_of, counted)).otherwise(own))
+
+    def result(way: int) -> Column:
+        here = F.col("way") == way
+        return F.struct(F.count_if(here & (F.col("part") >= 0)).alias("left"), *(F.sum(F.when(here, F.col(k)).otherwise(none)).cast("int").alias(k) for k in ("mine", "other")))
+
+    return cells.where(full).groupBy("range", "row").agg(result(0).alias("edit"), result(1).alias("next"))
 
 
 def with_next(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Rows (range, key, text, next_text), texts without nulls."""
+    """Rows (range, row, key, text, next_text), texts without nulls; row: number in its range."""
     docs = df.select(df[key].alias("key"), F.coalesce(df[text], F.lit("")).alias("text"), F.coalesce(df[key].cast("long"), F.lit(FIRST_KEY)).alias("at"))
     n = df.count()
     ranges = max(1, min(-(-n // RANGE_ROWS), MOST_RANGES))
@@ -150,42 +199,37 @@ def with_next(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     heads = heads.withColumn("before", F.coalesce(F.lag("range").over(order), F.max("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     heads = docs.join(F.broadcast(heads), ["range", "at"]).groupBy("before").agg(F.min("text").alias("text"))
     both = docs.withColumn("end", F.lit(False)).unionByName(heads.select(F.col("before").alias("range"), "text", F.lit(True).alias("end")), allowMissingColumns=True)
-    following = F.lead("text").over(Window.partitionBy("range").orderBy("end", "at", "text"))
-    return both.withColumn("next_text", following).where("not end").select("range", "key", "text", "next_text")
+    along = Window.partitionBy("range").orderBy("end", "at", "text")
+    both = both.withColumn("next_text", F.lead("text").over(along)).withColumn("row", F.row_number().over(along))
+    return both.where("not end").select("range", "row", "key", "text", "next_text")
 
 
 def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next): each text against an edited one, whose last quarter of code points is
-    replaced by the first as many of the next document, and against that document."""
+    near_next, recovered): each text against an edited one, whose last quarter of code
+    points is replaced by the first as many of the next document, and against that document."""
     n = F.length("text")
-    quarter = F.floor(F.length("text") / 4).cast("int")
+    quarter = F.floor(n / 4).cast("int")
     rows = with_next(df, text, key).withColumn("n_chars", n.cast("long"))
     rows = rows.withColumn("edited", F.concat(F.substring("text", 1, n - quarter), F.substring("next_text", 1, quarter)))
-    rows = rows.select("range", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
-    groups = F.greatest(F.lit(1), F.ceil(F.greatest(F.size("a"), F.size("e"), F.size("x")) / GROUP)).cast("int")
-    rows = rows.withColumn("groups", groups).withColumn("row", F.monotonically_increasing_id())
-    payload = F.struct("key", "n_chars", "edited_sha256", fingerprint(F.col("a")).alias("fingerprint"), fingerprint(F.col("e")).alias("edited_fingerprint"), F.size("a").alias("na"), F.size("e").alias("ne"), F.size("x").alias("nx"))
-
-    def dealt(side: str, name: str) -> Column:
-        of = lambda d: F.call_function("shiftrightunsigned", d, F.lit(48)) % F.col("groups")
-        return F.transform(side, lambda d: F.struct(of(d).cast("int").alias("g"), F.lit(name).alias("side"), d.alias("d"), F.lit(None).alias("of")))
-
-    # One row of each document carries what is known already; the others one digest each.
-    kind = "array<struct<g:int,side:string,d:bigint,of:struct<key:%s,n_chars:bigint,edited_sha256:string,fingerprint:string,edited_fingerprint:string,na:int,ne:int,nx:int>>>" % df.schema[key].dataType.simpleString()
-    known = F.array(F.struct(F.lit(-1).alias("g"), F.lit("").alias("side"), F.lit(None).alias("d"), payload.alias("of"))).cast(kind)
-    items = F.concat(known, *(dealt(s, s).cast(kind) for s in ("a", "e", "x")))
-    spread = rows.select("range", "row", F.explode(items).alias("i")).select("range", "row", "i.*")
-    of_side = lambda s: F.collect_list(F.when(F.col("side") == s, F.col("d"))).alias(s)
-    by_group = spread.groupBy("range", "row", "g").agg(of_side("a"), of_side("e"), of_side("x"), F.first("of", ignorenulls=True).alias("of"))
-    compared = by_group.select("range", "row", "of", difference(F.col("a"), F.col("e")).alias("edit"), difference(F.col("a"), F.col("x")).alias("next"))
-    whole = compared.groupBy("range", "row").agg(
-        F.first("of", ignorenulls=True).alias("of"), *(F.sum(f"{k}.{c}").alias(f"{k}_{c}") for k in ("edit", "next") for c in ("mine", "other")),
-        F.bool_and(F.col("edit.ok") & F.col("next.ok")).alias("ok"),
-    )
+    rows = rows.select("range", "row", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
+    na, ne, nx = F.size("a"), F.size("e"), F.size("x")
+    # An edit changes about half of the digests of both; another document changes all.
+    sized = rows.select("range", "row", na.alias("na"), ne.alias("ne"), (F.ceil((na + ne) * 0.3) + 8).cast("int").alias("cells0"), (F.ceil((na + nx) * 0.6) + 8).cast("int").alias("cells1"), F.posexplode(F.concat("a", "e", "x")).alias("pos", "d"))
+    side = F.when(F.col("pos") < F.col("na"), 0).when(F.col("pos") < F.col("na") + F.col("ne"), 1).otherwise(2)
+    items = sized.select("range", "row", "cells0", "cells1", side.alias("side"), "d")
+    met = rows.join(fingerprints(items), ["range", "row"], "left").join(compared(items), ["range", "row"], "left")
+
+    def outcome(name: str, other: str) -> Column:
+        first = F.struct((F.col(f"{name}.left") == 0).alias("ok"), F.col(f"{name}.mine").alias("mine"), F.col(f"{name}.other").alias("other"))
+        empty = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("mine"), F.lit(0).alias("other"))
+        return F.when(F.col(name).isNull(), empty).when(F.col(f"{name}.left") == 0, first).otherwise(difference(F.col("a"), F.col(other)))
+
+    blank = ":".join(["0." + "0" * 16] * CELLS)
+    met = met.select("key", "n_chars", "edited_sha256", *(F.coalesce(k, F.lit(blank)).alias(k) for k in ("fingerprint", "edited_fingerprint")), na.alias("na"), outcome("edit", "e").alias("edit"), outcome("next", "x").alias("next"))
 
     def likeness(name: str) -> Column:
-        union = F.col("of.na") + F.col(f"{name}_other")
-        return F.when(union == 0, F.lit(1.0)).otherwise((F.col("of.na") - F.col(f"{name}_mine")) / union)
+        union = F.col("na") + F.col(f"{name}.other")
+        return F.when(union == 0, F.lit(1.0)).otherwise((F.col("na") - F.col(f"{name}.mine")) / union)
 
-    return whole.select(F.col("of.key").alias(key), "of.n_chars", "of.edited_sha256", "of.fingerprint", "of.edited_fingerprint", likeness("edit").alias("near_edited"), likeness("next").alias("near_next"), F.col("ok").alias("recovered"))
+    return met.select(F.col("key").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness("edit").alias("near_edited"), likeness("next").alias("near_next"), (F.col("edit.ok") & F.col("next.ok")).alias("recovered"))
