@@ -8,14 +8,14 @@ what both have cancels. A cell left with one digest gives it away (its second ha
 agrees); taking that digest out of its other cells frees more cells, until all differing
 digests are recovered.
 
-Sketches for comparing are sized by the numbers of digests. They are rows (document,
-comparison, part, cell), made and subtracted by one aggregation of signed digests. Peeling
-takes the parts in turn: a digest lies in one cell of a part only, so the free cells of a
-part can all be taken out by one more aggregation. The few sketches that don't come out
-are built again in their document's row, twice as large at least, and four times as large
-each time that fails. Likeness is the Jaccard coefficient of the digest sets, from the
-numbers of digests and of recovered differences. The fingerprint itself is a base sketch
-of CELLS cells over all digests of the text, so equal texts have equal fingerprints.
+A sketch has to hold a few digests only, whatever the length of the text: digests are
+dealt by their hash over groups, as many as the texts ask for, and each group has a sketch
+of CELLS cells. A group's cells are the columns of one aggregation of signed digests,
+which makes and subtracts the sketches at once; they are peeled in the group's row. The
+few that don't come out are built again from the document's digests of that group, four
+times as large each time. Likeness is the Jaccard coefficient of the digest sets, from the
+numbers of digests and of recovered differences. The fingerprint itself is a base sketch of
+BASE cells over all digests of the text, so equal texts have equal fingerprints.
 
 Everything is DataFrame work: no Python runs on executors. Texts are shuffled once, by
 ranges of their ids; all that follows stays in that partitioning.
@@ -32,10 +32,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASHES = 3
-#: Cells of a base sketch, and of the largest that is tried.
-CELLS, MOST_CELLS = 12, 12 * 4**6
-#: Steps of peeling by rows (each takes one part), and rounds of peeling within a row.
-STEPS, ROUNDS = 15, 24
+#: Cells of a fingerprint, of a group's sketch, and of the largest that is tried.
+BASE, CELLS, MOST_CELLS = 6, 24, 24 * 4**5
+#: Rounds of peeling at most.
+ROUNDS = 24
+#: Differing digests of a group, about.
+GROUP = 9
 #: Words of a paragraph at most.
 WORDS = 10
 #: Rows in a range of ids, about, and ranges at most (beyond, they get larger and spill).
@@ -58,48 +60,60 @@ def second(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(1))
 
 
-def in_cell(digest: Column, cell: Column, part: Column) -> Column:
-    """Whether a digest belongs to a cell. part: cells for each hash, which looks at 16 bits of its own."""
-    return F.call_function("shiftrightunsigned", digest, (F.lit(16) * F.floor(cell / part)).cast("int")).bitwiseAND(F.lit(0xFFFF)) % part == cell % part
+def cell_of(digest: Column, part: int, cells) -> Column:
+    """A digest's cell among `cells`: each part looks at 16 bits of its own."""
+    per = F.lit(cells).cast("int") if isinstance(cells, int) else cells
+    per = (per / HASHES).cast("int")
+    return (F.shiftrightunsigned(digest, 16 * part).bitwiseAND(F.lit(0xFFFF)) % per).cast("int") + per * part
+
+
+def group_of(digest: Column, groups: Column) -> Column:
+    return (F.shiftrightunsigned(digest, 48) % groups).cast("int")
+
+
+def cell(n: Column, x: Column, c: Column) -> Column:
+    return F.struct(n.cast("int").alias("n"), x.alias("x"), c.alias("c"))
 
 
 def sketch(values: Column, cells: Column) -> Column:
     """Cells (n, x, c) of digests."""
-    part = (cells / HASHES).cast("int")
-    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("c"))
+    empty = cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+
+    def put(i: Column):
+        def step(s: Column, d: Column) -> Column:
+            here = (cell_of(d, 0, cells) == i) | (cell_of(d, 1, cells) == i) | (cell_of(d, 2, cells) == i)
+            return F.when(here, cell(s["n"] + 1, s["x"].bitwiseXOR(d), s["c"].bitwiseXOR(second(d)))).otherwise(s)
 
-    def put(s: Column, d: Column) -> Column:
-        return F.struct((s["n"] + 1).alias("n"), s["x"].bitwiseXOR(d).alias("x"), s["c"].bitwiseXOR(second(d)).alias("c"))
+        return step
 
-    return F.transform(F.sequence(F.lit(0), cells - 1), lambda i: F.aggregate(values, empty, lambda s, d: F.when(in_cell(d, i, part), put(s, d)).otherwise(s)))
+    return F.transform(F.sequence(F.lit(0), cells - 1), lambda i: F.aggregate(values, empty, put(i)))
 
 
 def subtracted(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x"), p["c"].bitwiseXOR(q["c"]).alias("c")))
+    return F.zip_with(a, b, lambda p, q: cell(p["n"] - q["n"], p["x"].bitwiseXOR(q["x"]), p["c"].bitwiseXOR(q["c"])))
 
 
-def peeled(cells: Column, size: Column) -> Column:
+def peeled(cells: Column, size) -> Column:
     """What a difference of sketches holds: (ok, mine, other): whether all was recovered,
     and how many digests only the first and only the second version has."""
-    part = (size / HASHES).cast("int")
 
     def step(state: Column, _: Column) -> Column:
-        free = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (second(c["x"]) == c["c"]))
+        free = F.filter(state["cells"], lambda c: F.when(F.abs(c["n"]) == 1, second(c["x"]) == c["c"]).otherwise(F.lit(False)))
+        placed = F.transform(free, lambda c: F.struct(c["n"].alias("n"), c["x"].alias("x"), c["c"].alias("c"), *(cell_of(c["x"], k, size).alias(f"i{k}") for k in range(HASHES))))
 
         def take(found: Column) -> Column:
             def out_of(c: Column, i: Column) -> Column:
-                here = F.filter(found, lambda p: in_cell(p["x"], i, part))
-                return F.aggregate(here, c, lambda s, p: F.struct((s["n"] - p["n"]).alias("n"), s["x"].bitwiseXOR(p["x"]).alias("x"), s["c"].bitwiseXOR(p["c"]).alias("c")))
+                def less(s: Column, p: Column) -> Column:
+                    here = (p["i0"] == i) | (p["i1"] == i) | (p["i2"] == i)
+                    return F.when(here, cell(s["n"] - p["n"], s["x"].bitwiseXOR(p["x"]), s["c"].bitwiseXOR(p["c"]))).otherwise(s)
+
+                return F.aggregate(found, c, less)
 
             mine = F.size(F.filter(found, lambda p: p["n"] == 1))
-            rest = F.struct(
-                F.transform(state["cells"], out_of).alias("cells"),
-                (state["mine"] + mine).alias("mine"),
-                (state["other"] + F.size(found) - mine).alias("other"),
-            )
+            rest = F.struct(F.transform(state["cells"], out_of).alias("cells"), (state["mine"] + mine).alias("mine"), (state["other"] + F.size(found) - mine).alias("other"))
             return F.when(F.size(found) == 0, state).otherwise(rest)
 
-        return let(F.array_distinct(free), take)
+        return let(F.array_distinct(placed), take)
 
     start = F.struct(cells.alias("cells"), F.lit(0).alias("mine"), F.lit(0).alias("other"))
     left = lambda c: (c["n"] != 0) | (c["x"] != 0) | (c["c"] != 0)
@@ -109,72 +123,45 @@ def peeled(cells: Column, size: Column) -> Column:
     )
 
 
-def difference(a: Column, b: Column, cells: int = CELLS, most: int = MOST_CELLS) -> Column:
-    """(ok, mine, other) of two digest sets by their sketches, built in a row; retried
-    larger on failure."""
+def difference(a: Column, b: Column, cells: int = 4 * CELLS, most: int = MOST_CELLS) -> Column:
+    """(ok, mine, other) of two digest sets by their sketches, retried larger on failure."""
     sizes = [cells]
     while sizes[-1] < most:
         sizes.append(sizes[-1] * 4)
     none = F.struct(F.lit(False).alias("ok"), F.lit(0).alias("mine"), F.lit(0).alias("other"))
-    tried = F.filter(F.array(*map(F.lit, sizes)), lambda z: (z >= 2 * (F.size(a) + F.size(b))) | (z == sizes[-1]))
 
     def attempt(result: Column, size: Column) -> Column:
         return F.when(result["ok"], result).otherwise(peeled(subtracted(sketch(a, size), sketch(b, size)), size))
 
-    return F.aggregate(tried, none, attempt)
+    return F.aggregate(F.array(*map(F.lit, sizes)), none, attempt)
 
 
-def cell_of(digest: Column, part: int, cells: Column) -> Column:
-    """A digest's cell in a part of `cells` cells."""
-    return (F.shiftrightunsigned(digest, 16 * part).bitwiseAND(F.lit(0xFFFF)) % cells).cast("int")
-
-
-def fingerprints(items: DataFrame) -> DataFrame:
-    """(range, row, fingerprint, edited_fingerprint): for each cell of the base sketch its
-    count and its digests' exclusive or, as text."""
-    per = CELLS // HASHES
-    cells = [(cell_of(F.col("d"), j, F.lit(per)) == i) for j in range(HASHES) for i in range(per)]
-    sides = {"fingerprint": F.col("side") == 0, "edited_fingerprint": F.col("side") == 1}
+def compared(items: DataFrame) -> DataFrame:
+    """Per document (range, row): of the edit (0) and of the next document (1) mine, other
+    and the groups that did not come out; the cells of the fingerprints of both texts."""
+    d, long0 = F.col("d"), F.lit(0).cast("long")
+    sign = F.when(F.col("side") == 0, 1).otherwise(-1)
     sums = []
-    for name, side in sides.items():
-        for k, cell in enumerate(cells):
-            sums += [F.count_if(side & cell).alias(f"{name}{k}n"), F.bit_xor(F.when(side & cell, F.col("d")).otherwise(F.lit(0).cast("long"))).alias(f"{name}{k}x")]
-    text = {name: F.concat_ws(":", *(F.concat(F.lower(F.hex(f"{name}{k}n")), F.lit("."), F.lpad(F.lower(F.hex(f"{name}{k}x")), 16, "0")) for k in range(CELLS))) for name in sides}
-    return items.groupBy("range", "row").agg(*sums).select("range", "row", *(v.alias(k) for k, v in text.items()))
-
-
-def compared(items: DataFrame, steps: int = STEPS) -> DataFrame:
-    """(range, row, edit, next): (left, mine, other) of the sketches' differences: cells
-    that did not come out, digests of the text only, digests of the other version only."""
-    keys = ["range", "row", "way", "cells", "part", "cell"]
-    sums = [F.sum("n").cast("int").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c"), F.sum("mine").cast("int").alias("mine"), F.sum("other").cast("int").alias("other")]
-    zero, none = F.lit(0).cast("long"), F.lit(0)
-
-    def row(way: Column, cells: Column, part: Column, cell: Column, n: Column, x: Column, c: Column, mine: Column = none, other: Column = none) -> Column:
-        numbers = {"way": way, "cells": cells, "part": part, "cell": cell, "n": n, "x": x, "c": c, "mine": mine, "other": other}
-        return F.struct(*(v.cast("long" if k in "xc" else "int").alias(k) for k, v in numbers.items()))
-
-    def spread(rows: DataFrame, items: Column) -> DataFrame:
-        return rows.select("range", "row", F.explode(items).alias("r")).select("range", "row", "r.*").groupBy(*keys).agg(*sums)
-
-    d, full = F.col("d"), "part < 0 or n <> 0 or x <> 0 or c <> 0"
-    into = lambda way, n: [row(F.lit(way), F.col(f"cells{way}"), F.lit(j), cell_of(d, j, F.col(f"cells{way}")), F.lit(n), d, F.col("c")) for j in range(HASHES)]
-    placed = F.when(F.col("side") == 0, F.array(*into(0, 1), *into(1, 1))).when(F.col("side") == 1, F.array(*into(0, -1))).otherwise(F.array(*into(1, -1)))
-    cells = spread(items.withColumn("c", second(d)), placed)
-    way, size, n, x, c = (F.col(k) for k in ("way", "cells", "n", "x", "c"))
-    own = F.array(row(way, size, F.col("part"), F.col("cell"), n, x, c, F.col("mine"), F.col("other")))
-    counted = row(way, size, F.lit(-1), none, none, zero, zero, (n == 1).cast("int"), (n == -1).cast("int"))
-    for step in range(steps):
-        part = step % HASHES
-        free = (F.col("part") == part) & (F.abs(n) == 1) & (second(x) == c)
-        out_of = [row(way, size, F.lit(j), cell_of(x, j, size), -n, x, c) for j in range(HASHES) if j != part]
-        cells = spread(cells.where(full), F.when(free, F.array(*out_of, counted)).otherwise(own))
-
-    def result(way: int) -> Column:
-        here = F.col("way") == way
-        return F.struct(F.count_if(here & (F.col("part") >= 0)).alias("left"), *(F.sum(F.when(here, F.col(k)).otherwise(none)).cast("int").alias(k) for k in ("mine", "other")))
-
-    return cells.where(full).groupBy("range", "row").agg(result(0).alias("edit"), result(1).alias("next"))
+    for i in range(CELLS):
+        here = cell_of(d, i * HASHES // CELLS, CELLS) == i
+        sums += [F.sum(F.when(here, sign).otherwise(0)).alias(f"n{i}"), F.bit_xor(F.when(here, d).otherwise(long0)).alias(f"x{i}"), F.bit_xor(F.when(here, F.col("c")).otherwise(long0)).alias(f"c{i}")]
+    for side in (0, 1):
+        for i in range(BASE):
+            here = (F.col("way") == 0) & (F.col("side") == side) & (cell_of(d, i * HASHES // BASE, BASE) == i)
+            sums += [F.count_if(here).alias(f"f{side}n{i}"), F.bit_xor(F.when(here, d).otherwise(long0)).alias(f"f{side}x{i}")]
+    ways = F.when(F.col("side") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("side") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
+    groups = F.when(F.col("way") == 0, F.col("groups0")).otherwise(F.col("groups1"))
+    rows = items.withColumn("c", second(d)).withColumn("way", F.explode(ways)).withColumn("g", group_of(d, groups))
+    rows = rows.groupBy("range", "row", "way", "g").agg(*sums)
+    cells = F.array(*(cell(F.col(f"n{i}"), F.col(f"x{i}"), F.col(f"c{i}")) for i in range(CELLS)))
+    prints = [f"f{side}{k}{i}" for side in (0, 1) for i in range(BASE) for k in "nx"]
+    rows = rows.select("range", "row", "way", "g", peeled(cells, CELLS).alias("r"), *prints)
+    here = lambda way: F.col("way") == way
+    return rows.groupBy("range", "row").agg(
+        *(F.sum(F.when(here(way) & F.col("r.ok"), F.col(f"r.{k}")).otherwise(0)).cast("int").alias(f"{k}{way}") for way in (0, 1) for k in ("mine", "other")),
+        *(F.collect_list(F.when(here(way) & ~F.col("r.ok"), F.col("g"))).alias(f"failed{way}") for way in (0, 1)),
+        *(F.sum(p).alias(p) if "n" in p else F.bit_xor(p).alias(p) for p in prints),
+    )
 
 
 def with_next(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -214,22 +201,28 @@ def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     rows = rows.withColumn("edited", F.concat(F.substring("text", 1, n - quarter), F.substring("next_text", 1, quarter)))
     rows = rows.select("range", "row", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
     na, ne, nx = F.size("a"), F.size("e"), F.size("x")
-    # An edit changes about half of the digests of both; another document changes all.
-    sized = rows.select("range", "row", na.alias("na"), ne.alias("ne"), (F.ceil((na + ne) * 0.3) + 8).cast("int").alias("cells0"), (F.ceil((na + nx) * 0.6) + 8).cast("int").alias("cells1"), F.posexplode(F.concat("a", "e", "x")).alias("pos", "d"))
+    # An edit changes less than a third of the digests of both; another document changes all.
+    sizes = [F.greatest(F.lit(1), F.ceil((na + ne) * 0.3 / GROUP)).cast("int").alias("groups0"), F.greatest(F.lit(1), F.ceil((na + nx) / GROUP)).cast("int").alias("groups1")]
+    sized = rows.select("range", "row", na.alias("na"), ne.alias("ne"), *sizes, F.posexplode(F.concat("a", "e", "x")).alias("pos", "d"))
     side = F.when(F.col("pos") < F.col("na"), 0).when(F.col("pos") < F.col("na") + F.col("ne"), 1).otherwise(2)
-    items = sized.select("range", "row", "cells0", "cells1", side.alias("side"), "d")
-    met = rows.join(fingerprints(items), ["range", "row"], "left").join(compared(items), ["range", "row"], "left")
+    met = rows.select("*", *sizes).join(compared(sized.select("range", "row", "groups0", "groups1", side.alias("side"), "d")), ["range", "row"], "left")
+
+    def retried(way: int, other: str) -> Column:
+        of_group = lambda values, g: F.filter(values, lambda d: group_of(d, F.col(f"groups{way}")) == g)
+        again = F.transform(f"failed{way}", lambda g: difference(of_group("a", g), of_group(other, g)))
+        return F.when(F.size(f"failed{way}") > 0, again).otherwise(F.array().cast("array<struct<ok:boolean,mine:int,other:int>>"))
+
+    def print_of(side: int) -> Column:
+        return F.concat_ws(":", *(F.concat(F.lower(F.hex(F.coalesce(f"f{side}n{i}", F.lit(0)))), F.lit("."), F.lpad(F.lower(F.hex(F.coalesce(f"f{side}x{i}", F.lit(0).cast("long")))), 16, "0")) for i in range(BASE)))
 
-    def outcome(name: str, other: str) -> Column:
-        first = F.struct((F.col(f"{name}.left") == 0).alias("ok"), F.col(f"{name}.mine").alias("mine"), F.col(f"{name}.other").alias("other"))
-        empty = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("mine"), F.lit(0).alias("other"))
-        return F.when(F.col(name).isNull(), empty).when(F.col(f"{name}.left") == 0, first).otherwise(difference(F.col("a"), F.col(other)))
+    met = met.select("key", "n_chars", "edited_sha256", print_of(0).alias("fingerprint"), print_of(1).alias("edited_fingerprint"), na.alias("na"), "mine0", "other0", "mine1", "other1", retried(0, "e").alias("again0"), retried(1, "x").alias("again1"))
 
-    blank = ":".join(["0." + "0" * 16] * CELLS)
-    met = met.select("key", "n_chars", "edited_sha256", *(F.coalesce(k, F.lit(blank)).alias(k) for k in ("fingerprint", "edited_fingerprint")), na.alias("na"), outcome("edit", "e").alias("edit"), outcome("next", "x").alias("next"))
+    def count(name: str, way: int) -> Column:
+        return F.coalesce(F.col(f"{name}{way}"), F.lit(0)) + F.aggregate(f"again{way}", F.lit(0), lambda s, r: s + r[name])
 
-    def likeness(name: str) -> Column:
-        union = F.col("na") + F.col(f"{name}.other")
-        return F.when(union == 0, F.lit(1.0)).otherwise((F.col("na") - F.col(f"{name}.mine")) / union)
+    def likeness(way: int) -> Column:
+        union = F.col("na") + count("other", way)
+        return F.when(union == 0, F.lit(1.0)).otherwise((F.col("na") - count("mine", way)) / union)
 
-    return met.select(F.col("key").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness("edit").alias("near_edited"), likeness("next").alias("near_next"), (F.col("edit.ok") & F.col("next.ok")).alias("recovered"))
+    ok = F.forall(F.concat("again0", "again1"), lambda r: r["ok"])
+    return met.select(F.col("key").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(0).alias("near_edited"), likeness(1).alias("near_next"), ok.alias("recovered"))
