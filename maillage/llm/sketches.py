@@ -31,13 +31,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASHES = 3
+HASHES = 4
 #: Cells of a fingerprint, of a group's sketch, and of the largest that is tried.
-BASE, CELLS, MOST_CELLS = 6, 24, 24 * 4**5
+BASE, CELLS, MOST_CELLS = 8, 24, 48 * 4**5
 #: Rounds of peeling at most.
 ROUNDS = 24
 #: Differing digests of a group, about.
-GROUP = 9
+GROUP = 7
 #: Words of a paragraph at most.
 WORDS = 10
 #: Rows in a range of ids, about, and ranges at most (beyond, they get larger and spill).
@@ -67,8 +67,17 @@ def cell_of(digest: Column, part: int, cells) -> Column:
     return (F.shiftrightunsigned(digest, 16 * part).bitwiseAND(F.lit(0xFFFF)) % per).cast("int") + per * part
 
 
-def group_of(digest: Column, groups: Column) -> Column:
-    return (F.shiftrightunsigned(digest, 48) % groups).cast("int")
+def group_of(check: Column, groups: Column) -> Column:
+    """The group of a digest, by its second hash."""
+    return F.pmod(check, groups).cast("int")
+
+
+def among(p: Column, i: Column) -> Column:
+    """Whether cell i is one of a placed digest's."""
+    here = p["i0"] == i
+    for k in range(1, HASHES):
+        here = here | (p[f"i{k}"] == i)
+    return here
 
 
 def cell(n: Column, x: Column, c: Column) -> Column:
@@ -78,15 +87,12 @@ def cell(n: Column, x: Column, c: Column) -> Column:
 def sketch(values: Column, cells: Column) -> Column:
     """Cells (n, x, c) of digests."""
     empty = cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+    placed = F.transform(values, lambda d: F.struct(d.alias("x"), second(d).alias("c"), *(cell_of(d, k, cells).alias(f"i{k}") for k in range(HASHES))))
 
     def put(i: Column):
-        def step(s: Column, d: Column) -> Column:
-            here = (cell_of(d, 0, cells) == i) | (cell_of(d, 1, cells) == i) | (cell_of(d, 2, cells) == i)
-            return F.when(here, cell(s["n"] + 1, s["x"].bitwiseXOR(d), s["c"].bitwiseXOR(second(d)))).otherwise(s)
-
-        return step
+        return lambda s, p: F.when(among(p, i), cell(s["n"] + 1, s["x"].bitwiseXOR(p["x"]), s["c"].bitwiseXOR(p["c"]))).otherwise(s)
 
-    return F.transform(F.sequence(F.lit(0), cells - 1), lambda i: F.aggregate(values, empty, put(i)))
+    return let(placed, lambda found: F.transform(F.sequence(F.lit(0), cells - 1), lambda i: F.aggregate(found, empty, put(i))))
 
 
 def subtracted(a: Column, b: Column) -> Column:
@@ -104,8 +110,7 @@ def peeled(cells: Column, size) -> Column:
         def take(found: Column) -> Column:
             def out_of(c: Column, i: Column) -> Column:
                 def less(s: Column, p: Column) -> Column:
-                    here = (p["i0"] == i) | (p["i1"] == i) | (p["i2"] == i)
-                    return F.when(here, cell(s["n"] - p["n"], s["x"].bitwiseXOR(p["x"]), s["c"].bitwiseXOR(p["c"]))).otherwise(s)
+                    return F.when(among(p, i), cell(s["n"] - p["n"], s["x"].bitwiseXOR(p["x"]), s["c"].bitwiseXOR(p["c"]))).otherwise(s)
 
                 return F.aggregate(found, c, less)
 
@@ -123,7 +128,7 @@ def peeled(cells: Column, size) -> Column:
     )
 
 
-def difference(a: Column, b: Column, cells: int = 4 * CELLS, most: int = MOST_CELLS) -> Column:
+def difference(a: Column, b: Column, cells: int = 2 * CELLS, most: int = MOST_CELLS) -> Column:
     """(ok, mine, other) of two digest sets by their sketches, retried larger on failure."""
     sizes = [cells]
     while sizes[-1] < most:
@@ -151,7 +156,7 @@ def compared(items: DataFrame) -> DataFrame:
             sums += [F.count_if(here).alias(f"f{side}n{i}"), F.bit_xor(F.when(here, d).otherwise(long0)).alias(f"f{side}x{i}")]
     ways = F.when(F.col("side") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("side") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
     groups = F.when(F.col("way") == 0, F.col("groups0")).otherwise(F.col("groups1"))
-    rows = items.withColumn("c", second(d)).withColumn("way", F.explode(ways)).withColumn("g", group_of(d, groups))
+    rows = items.withColumn("c", second(d)).withColumn("way", F.explode(ways)).withColumn("g", group_of(F.col("c"), groups))
     rows = rows.groupBy("range", "row", "way", "g").agg(*sums)
     cells = F.array(*(cell(F.col(f"n{i}"), F.col(f"x{i}"), F.col(f"c{i}")) for i in range(CELLS)))
     prints = [f"f{side}{k}{i}" for side in (0, 1) for i in range(BASE) for k in "nx"]
@@ -208,7 +213,7 @@ def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     met = rows.select("*", *sizes).join(compared(sized.select("range", "row", "groups0", "groups1", side.alias("side"), "d")), ["range", "row"], "left")
 
     def retried(way: int, other: str) -> Column:
-        of_group = lambda values, g: F.filter(values, lambda d: group_of(d, F.col(f"groups{way}")) == g)
+        of_group = lambda values, g: F.filter(values, lambda d: group_of(second(d), F.col(f"groups{way}")) == g)
         again = F.transform(f"failed{way}", lambda g: difference(of_group("a", g), of_group(other, g)))
         return F.when(F.size(f"failed{way}") > 0, again).otherwise(F.array().cast("array<struct<ok:boolean,mine:int,other:int>>"))
 
