@@ -57,6 +57,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         ends.append((start, len(sizes)))
     for a, b in ends:
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # workers live on; what they keep adds up
 
 
 class Words:

@@ -41,7 +41,7 @@ CAPACITY = 4096
 #: Expected number of pieces in a shard.
 SHARD_PIECES = 250_000
 #: Token lists of a generation of units that a worker remembers.
-REMEMBER = 500_000
+REMEMBER = 200_000
 
 
 class Tokens:
