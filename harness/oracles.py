@@ -15,7 +15,7 @@ commune AS (
               ELSE '2' || LPAD(CAST(c_nationkey AS VARCHAR), 8, '0') END AS epci_code,
          n_name AS epci_nom,
          CAST(FLOOR(ABS(c_acctbal)) AS BIGINT) AS population,
-         CAST(ABS(c_acctbal) AS DECIMAL(24,6)) AS km2
+         CAST(ABS(c_acctbal) AS DECIMAL(30,10)) AS km2
   FROM customer
   JOIN nation ON n_nationkey = c_nationkey
   JOIN region ON r_regionkey = n_regionkey
@@ -220,7 +220,7 @@ FARM = """
 farm AS (
   SELECT CASE WHEN c_acctbal < 0 THEN 'ZZZZZZZZZ'
               ELSE '2' || LPAD(CAST(c_nationkey AS VARCHAR), 8, '0') END AS geocode,
-         YEAR(o_orderdate) AS annee, SUM(CAST(o_totalprice AS DECIMAL(24,6))) AS valeur
+         YEAR(o_orderdate) AS annee, SUM(CAST(o_totalprice AS DECIMAL(30,10))) AS valeur
   FROM orders JOIN customer ON c_custkey = o_custkey
   GROUP BY ALL
 )"""
@@ -229,7 +229,7 @@ PESTICIDE = f"""
 WITH {DIM}, {FARM},
 yearly AS (
   SELECT '2' || LPAD(CAST(c_nationkey AS VARCHAR), 8, '0') AS siren,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(24,6))) AS DOUBLE)
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(30,10))) AS DOUBLE)
            / COUNT(DISTINCT YEAR(o_orderdate)) AS q
   FROM orders JOIN customer ON c_custkey = o_custkey
   GROUP BY c_nationkey
@@ -254,14 +254,14 @@ enriched AS (
 
 AREAS = """
 areas AS (
-  SELECT s_nationkey, CAST(SUM(CAST(l_quantity AS DECIMAL(24,6))) AS DOUBLE) AS v
+  SELECT s_nationkey, CAST(SUM(CAST(l_quantity AS DECIMAL(30,10))) AS DOUBLE) AS v
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
   WHERE l_returnflag = 'R' GROUP BY s_nationkey
 )"""
 
 TRIPS = """
 trips AS (
-  SELECT s_nationkey, CAST(SUM(CAST(s_acctbal AS DECIMAL(24,6))) AS DOUBLE) AS v
+  SELECT s_nationkey, CAST(SUM(CAST(s_acctbal AS DECIMAL(30,10))) AS DOUBLE) AS v
   FROM supplier GROUP BY s_nationkey
 )"""
 
@@ -440,7 +440,7 @@ FROM counts
     "ind_pharmacy_distance": f"""
 WITH {COMMUNE}
 SELECT epci_code AS id_epci, 'i147' AS id_indicator,
-       ROUND(CAST(SUM(CAST(d AS DECIMAL(24,6))) AS DOUBLE) / NULLIF(COUNT(d), 0), 2)
+       ROUND(CAST(SUM(CAST(d AS DECIMAL(30,10))) AS DOUBLE) / NULLIF(COUNT(d), 0), 2)
          AS valeur_brute,
        '2024' AS annee
 FROM commune
@@ -452,7 +452,7 @@ WHERE epci_code != 'ZZZZZZZZZ' GROUP BY epci_code
 WITH {COMMUNE}, {DIM},
 val AS (
   SELECT epci_code,
-         ROUND(CAST(SUM(CAST(d AS DECIMAL(24,6))) AS DOUBLE) / NULLIF(COUNT(d), 0), 2) AS v
+         ROUND(CAST(SUM(CAST(d AS DECIMAL(30,10))) AS DOUBLE) / NULLIF(COUNT(d), 0), 2) AS v
   FROM commune
   LEFT JOIN (
     SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS d FROM orders
@@ -574,6 +574,10 @@ SELECT o_orderkey,
        CAST(o_orderkey AS INTEGER) AS spaced_int,
        TRY_CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE) AS comma,
        TRY_CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS INTEGER) AS whole,
+       TRY_CAST(CAST(o_orderkey AS VARCHAR) || 'd' AS INTEGER) AS suffixed,
+       TRY_CAST(CAST(o_orderkey AS VARCHAR) || 'f' AS DOUBLE) AS suffixed_double,
+       CAST(CAST(o_orderkey AS VARCHAR) || '.1234567' AS DOUBLE) AS fine,
+       '1' || LPAD(CAST(o_orderkey AS VARCHAR), 19, '0') AS huge,
        REPLACE(o_orderpriority, '-', '') AS replaced
 FROM orders
 """,
@@ -647,11 +651,11 @@ WHERE CASE p_name
 """,
     "semi_members": """
 SELECT c_custkey, c_mktsegment FROM customer
-WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')
+WHERE c_custkey IN (SELECT user_id FROM events)
 """,
     "anti_members": """
 SELECT c_custkey, c_mktsegment FROM customer
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderpriority LIKE '1%' AND o_custkey = c_custkey)
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)
 """,
     "union_distinct": """
 SELECT o_custkey AS code, LEFT(o_orderpriority, 1) AS kind FROM orders
@@ -668,11 +672,9 @@ GROUP BY kind
 SELECT o_custkey AS code FROM orders EXCEPT SELECT user_id FROM events
 """,
     "full_reconcile": """
-SELECT c_custkey, c_name, o_orderkey, o_custkey
-FROM customer
-FULL JOIN (SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 450000)
-  ON o_custkey = c_custkey
-WHERE c_custkey IS NULL OR o_custkey IS NULL
+SELECT p_partkey, p_name, doc_key, lang
+FROM part FULL JOIN (SELECT doc_id * 3 AS doc_key, lang FROM documents) ON doc_key = p_partkey
+WHERE p_partkey IS NULL OR doc_key IS NULL
 """,
     "duplicate_report": """
 SELECT p_name, COUNT(*) AS n_com FROM part GROUP BY p_name HAVING COUNT(*) > 1

@@ -365,6 +365,7 @@ def code_repair(spark, sf):
         thousands, F.lit(" "), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0")
     )
     comma = F.concat(F.translate(price, ".", ","), F.lit(" %"))
+    huge = F.concat(F.lit("1"), F.lpad(F.col("o_orderkey").cast("string"), 19, "0"))
     padded = F.concat(F.lit("  "), F.left("o_orderpriority", F.lit(1)), F.lit(" "))
     return table(spark, sf, "orders").select(
         "o_orderkey",
@@ -377,6 +378,10 @@ def code_repair(spark, sf):
         numbers.spaced_number(spaced, "int").alias("spaced_int"),
         numbers.comma_number(comma).alias("comma"),
         numbers.to_int(price).alias("whole"),
+        numbers.to_int(F.concat("o_orderkey", F.lit("d"))).alias("suffixed"),
+        numbers.to_double(F.concat("o_orderkey", F.lit("f"))).alias("suffixed_double"),
+        numbers.to_measure(F.concat("o_orderkey", F.lit(".1234567"))).cast("double").alias("fine"),
+        numbers.to_measure(huge).cast("decimal(20,0)").cast("string").alias("huge"),
         F.replace("o_orderpriority", F.lit("-"), F.lit("")).alias("replaced"),
     )
 
@@ -515,16 +520,14 @@ def rules_filter(spark, sf):
 
 @query
 def semi_members(spark, sf):
-    urgent = table(spark, sf, "orders").where(F.col("o_orderpriority").startswith("1"))
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return lookup.keep_members(customer, "c_custkey", urgent, "o_custkey")
+    return lookup.keep_members(customer, "c_custkey", table(spark, sf, "events"), "user_id")
 
 
 @query
 def anti_members(spark, sf):
-    urgent = table(spark, sf, "orders").where(F.col("o_orderpriority").startswith("1"))
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return lookup.drop_members(customer, "c_custkey", urgent, "o_custkey")
+    return lookup.drop_members(customer, "c_custkey", table(spark, sf, "events"), "user_id")
 
 
 # --- sets and reports --------------------------------------------------------------
@@ -562,11 +565,12 @@ def key_difference(spark, sf):
 
 @query
 def full_reconcile(spark, sf):
-    """Customers without urgent order, and suppliers' keys unknown as customers."""
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
-    orders = table(spark, sf, "orders")
-    high = orders.where(F.col("o_totalprice") > 450_000).select("o_orderkey", "o_custkey")
-    return quality.reconcile(customer, "c_custkey", high, "o_custkey")
+    """Parts and documents by number and by three times the number: rows that only one
+    of the two tables has."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    key = (F.col("doc_id") * 3).alias("doc_key")
+    documents = table(spark, sf, "documents").select(key, "lang")
+    return quality.reconcile(part, "p_partkey", documents, "doc_key")
 
 
 @query
@@ -677,7 +681,7 @@ def named_view(spark, sf):
 def header_detect(spark, sf):
     """Documents as files: header line, and number and length of the lines after it."""
     lines = roles.document_lines(spark, sf)
-    headers = preamble.header_rows(lines, keywords=("the ", "la ", "der "))
+    headers = preamble.header_rows(lines, keywords=("the ", "la ", "der "), window=15)
     sizes = lines.select("file", "line_no", F.length("value").alias("size"))
     after = preamble.data_lines(sizes, headers)
     return after.groupBy(F.col("file").alias("doc_id"), "header_row").agg(
@@ -705,7 +709,7 @@ def paged_records(spark, sf):
 @query
 def csv_round_trip(spark, sf):
     """Orders written as ';' text and read back as declared."""
-    path = f"{roles.scratch(spark)}/orders_csv"
+    path = roles.scratch(spark, "orders_csv")
     orders = table(spark, sf, "orders").select(
         "o_orderkey",
         "o_orderpriority",
@@ -721,13 +725,13 @@ def csv_round_trip(spark, sf):
 @query
 def preamble_round_trip(spark, sf):
     """Customers written below two lines of preamble, read with header detection."""
-    path = f"{roles.scratch(spark)}/customer_text"
+    path = roles.scratch(spark, "customer_text")
     cells = F.concat_ws(";", "c_custkey", "c_mktsegment")
     line = F.when(F.col("_first"), F.concat(F.lit("Source: x\n\nCommune;segment\n"), cells))
     marked = table(spark, sf, "customer").withColumn(
         "_first", F.monotonically_increasing_id() % (1 << 33) == 0
     )
-    marked.select(line.otherwise(cells).alias("value")).write.text(path)
+    marked.select(line.otherwise(cells).alias("value")).write.mode("overwrite").text(path)
     schema = T.StructType(
         [T.StructField("Commune", T.LongType()), T.StructField("segment", T.StringType())]
     )

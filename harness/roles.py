@@ -8,9 +8,6 @@ grouping are summed up per key first.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder all executors can see: below the shared checkpoint folder, or a
-    temporary one in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/maillage-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="maillage-")
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of this application that all executors see: below the shared checkpoint
+    folder, or the warehouse where none is set. What is written there is overwritten by
+    the next call."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/maillage-{spark.sparkContext.applicationId}/{name}"
 
 
 # --- derived codes -----------------------------------------------------------------

@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maillage.functions.numbers import MEASURE
+# Lengths are summed to the micrometre: finer digits are noise of the trigonometry.
+METRES = "decimal(24,6)"
+
 
 # Metres to six digits are exact in it.
 KILOMETRES = "decimal(27,9)"
@@ -81,6 +83,6 @@ def path_lengths(
     along = Window.partitionBy(*path, "_stretch").orderBy(seq)
     dx, dy = F.lead("_x").over(along) - F.col("_x"), F.lead("_y").over(along) - F.col("_y")
     steps = points.select(*columns, "_stretch", F.sqrt(dx * dx + dy * dy).alias("_m"))
-    metres = F.sum(F.col("_m").cast(MEASURE))
+    metres = F.sum(F.col("_m").cast(METRES))
     groups = steps.groupBy(*columns, "_stretch")
     return groups.agg((metres / 1000).cast(KILOMETRES).alias("distance_km")).drop("_stretch")

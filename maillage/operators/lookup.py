@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from maillage.operators.rollup import any_values
+
 
 def spread_join(
     facts: DataFrame,
@@ -17,19 +19,20 @@ def spread_join(
     take: Mapping[str, Column] | None = None,
     needed: Column | None = None,
     how: str = "left",
+    deal: Sequence[str] = (),
 ) -> DataFrame:
     """Equi join of facts with a table (left, inner, left_semi or left_anti) that no
     single key can pile up in one task. Adds the table's ``take`` columns.
 
-    Rows with a null key, or for which ``needed`` is not true, cannot match, yet a plain
-    join sends them all to the partition of null. Here a hash is a second join column:
-    of the keys for rows that look something up, of the whole row and its input
-    partition for the others, which deals them out. (A constant would not do: the
-    optimizer takes constants out of the join keys.)
-
-    The second column also keeps the join from reusing the partitioning of an
-    aggregated table. Both sides then come straight out of a shuffle, the form in which
-    the adaptive skew join can split a key that many facts share.
+    A hash of the keys is a second join column. It keeps the join from reusing the
+    partitioning of an aggregated table: both sides come straight out of a shuffle, the
+    form in which the adaptive skew join can split a key that many facts share, the null
+    key included. (A constant would not do: the optimizer takes constants out of the
+    join keys.) Rows that match nothing (a null key, or ``needed`` not true) are filtered
+    out where the join drops them anyway; elsewhere those of ``needed`` keep their keys'
+    hash, which deals them out, and rows with null keys are dealt by ``deal``, columns of
+    the facts, if given. Nothing but keys and ``deal`` is read for the join, and filters
+    on the result reach the scan.
     """
     for fact_key, table_key in keys:
         left_type = facts.select(fact_key).schema[0].dataType
@@ -40,16 +43,17 @@ def spread_join(
     wanted = reduce(lambda a, b: a & b, [k.isNotNull() for k, _ in keys])
     if needed is not None:
         wanted = wanted & F.coalesce(needed, F.lit(False))
-    hashable = [c for c, t in facts.dtypes if "map<" not in t and t != "variant"]
+    if how in ("inner", "left_semi"):
+        facts = facts.where(wanted)
+    hashed = F.xxhash64(*[k for k, _ in keys], *[F.when(~wanted, F.col(c)) for c in deal])
+    own = F.xxhash64(*[k for k, _ in keys])
     left = facts.select(
         "*",
         *[
             (k if needed is None else F.when(wanted, k)).alias(n)
             for n, (k, _) in zip(names, keys)
         ],
-        F.when(wanted, F.xxhash64(*[k for k, _ in keys]))
-        .otherwise(F.xxhash64(*hashable, F.spark_partition_id()))
-        .alias("_deal"),
+        (F.when(wanted, own).otherwise(hashed) if deal else own).alias("_deal"),
     )
     right = table.select(
         *[k.alias(n) for n, (_, k) in zip(names, keys)],
@@ -61,11 +65,8 @@ def spread_join(
 
 def first_match(table: DataFrame, key: str, value: str) -> DataFrame:
     """One row per key with its smallest value. File order plays no part."""
-    return (
-        table.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .groupBy(key)
-        .agg(F.min(value).alias(value))
-    )
+    known = table.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    return any_values(known, key, columns=[value])
 
 
 def fill_missing(

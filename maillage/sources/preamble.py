@@ -12,9 +12,8 @@ from maillage.functions.text import contains_any
 from maillage.operators.lookup import spread_join
 from maillage.sources.lines import first_split, numbered_lines, rows_after
 
-# Words that give the header away, and how far to look for it.
+# Words that give the header away.
 HEADER_KEYWORDS = ("Code commune INSEE", "Commune")
-HEADER_WINDOW = 15
 
 
 def header_rows(
@@ -24,10 +23,13 @@ def header_rows(
     line_no: str = "line_no",
     text: str = "value",
     keywords: Iterable[str] = HEADER_KEYWORDS,
-    window: int = HEADER_WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
-    """Per file the first of its leading lines with a keyword, else line 0."""
-    candidate = (F.col(line_no) < window) & contains_any(F.col(text), keywords)
+    """Per file its first line with a keyword, else line 0. ``window`` looks at so many
+    leading lines only."""
+    candidate = contains_any(F.col(text), keywords)
+    if window is not None:
+        candidate = (F.col(line_no) < window) & candidate
     first = F.min(F.when(candidate, F.col(line_no)))
     return lines.groupBy(file).agg(F.coalesce(first, F.lit(0)).alias("header_row"))
 
@@ -54,18 +56,22 @@ def read_after_header(
     sep: str = ";",
     encoding: str = "UTF-8",
     keywords: Iterable[str] = HEADER_KEYWORDS,
-    window: int = HEADER_WINDOW,
+    window: int | None = None,
 ) -> DataFrame:
     """Delimited files with any number of lines before the header.
 
     ``schema`` lists the columns in file order; the file name comes along as ``file``.
-    The window in which a header may stand lies in a file's first split.
+    The header is the first line of a file with a keyword; a file without one in its
+    first split is an error. With ``window`` it is looked for in so many leading lines
+    only, and line 0 is the header if none of them has a keyword.
     """
     lines = numbered_lines(spark, path, encoding)
     hit = F.when(contains_any(F.col("value"), keywords), F.col("_id"))
     ids = first_split(lines).agg(F.min("_id").alias("_start"), F.min(hit).alias("_hit"))
     distance = F.col("_hit") - F.col("_start")
-    header = F.when(distance < window, distance).otherwise(F.lit(0))
+    header = distance
+    if window is not None:
+        header = F.when(distance < window, distance).otherwise(F.lit(0))
     return rows_after(lines, ids.select("file", "_start", header.alias("_header")), schema, sep)
 
 
@@ -80,5 +86,6 @@ def read_skipping(
 ) -> DataFrame:
     """Delimited files with a fixed number of lines before the header."""
     lines = numbered_lines(spark, path, encoding)
-    ids = first_split(lines).agg(F.min("_id").alias("_start"), F.lit(skip).alias("_header"))
+    enough = F.when(F.count("*") > skip, F.lit(skip))
+    ids = first_split(lines).agg(F.min("_id").alias("_start"), enough.alias("_header"))
     return rows_after(lines, ids, schema, sep)

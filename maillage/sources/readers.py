@@ -25,15 +25,21 @@ def read_delimited(
     *,
     sep: str = ",",
     encoding: str = "UTF-8",
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Delimited file(s) with a header.
 
     Headers are checked against the schema. Several paths or a pattern give one scan
-    over all files, which must share their columns.
+    over all files, which must share their columns. A malformed row is an error unless
+    ``mode`` says otherwise. ``multi_line`` reads quoted line breaks; files are then not
+    split, so it is for many or small files.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.schema(schema).option("enforceSchema", False)
-    return reader.csv(paths, header=True, sep=sep, encoding=encoding)
+    return reader.csv(
+        paths, header=True, sep=sep, encoding=encoding, multiLine=multi_line, mode=mode
+    )
 
 
 def read_latin1(spark: SparkSession, path: str, schema: Schema, *, sep: str = ";") -> DataFrame:
@@ -56,11 +62,17 @@ def read_quarantined(
 ) -> DataFrame:
     """Delimited file in which malformed lines stay, in a column of their own.
 
-    Every line has to stand on its own: quoted line breaks are not supported.
+    Every line has to stand on its own: a line with an open quote is malformed (its
+    quoted line break goes on elsewhere), and so is what follows it, having a quote too
+    many in its turn.
     """
     lines = numbered_lines(spark, path)
     ids = first_split(lines).agg(F.min("_id").alias("_start"), F.lit(0).alias("_header"))
-    return rows_after(lines, ids, schema, sep, corrupt=True).drop("file")
+    rows = rows_after(lines, ids, schema, sep, corrupt=True, keep="_line").drop("file")
+    quotes = F.length("_line") - F.length(F.translate("_line", '"', ""))
+    bad = F.when(quotes % 2 == 1, F.col("_line")).otherwise(F.col(CORRUPT))
+    names = [f.name for f in schema.fields]
+    return rows.select(*names, bad.alias(CORRUPT))
 
 
 def read_tolerant(

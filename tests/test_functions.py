@@ -156,3 +156,20 @@ def test_year_in(spark):
 def test_contains_any(spark):
     got = one(spark, text.contains_any(V, ("Commune", "Code")), "Code postal", "commune", "Commune")
     assert got == [True, False, True]
+
+
+def test_foreign_suffixes_are_no_numbers(spark):
+    values = ["12d", "1f", "0x1p3", "1D", "12", " 3.5 ", "1e3", None]
+    want = [None, None, None, None, 12.0, 3.5, 1000.0, None]
+    assert one(spark, numbers.to_double(V), *values) == want
+    assert one(spark, numbers.comma_number(V), "12d", "1,5 %") == [None, 1.5]
+    assert one(spark, numbers.spaced_number(V), "1 2f", "1 2") == [None, 12.0]
+    assert one(spark, numbers.to_double(V), "Infinity", "-inf") == [float("inf"), float("-inf")]
+
+
+def test_measures_keep_digits_and_refuse_what_does_not_fit(spark):
+    got = one(spark, numbers.to_measure(V), "10000000000000000000", "0.1234567", "x", "1d", None)
+    assert [None if v is None else float(v) for v in got] == [1e19, 0.1234567, None, None, None]
+    with pytest.raises(Exception, match="does not fit"):
+        one(spark, numbers.to_measure(V), "1e25")
+    assert one(spark, numbers.to_measure(V, "decimal(38,2)"), "1e25") == [10**25]

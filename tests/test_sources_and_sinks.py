@@ -93,7 +93,7 @@ def test_directory_file(spark, tmp_path, rows):
 APL = T.StructType([T.StructField("code", T.StringType()), T.StructField("apl", T.DoubleType())])
 
 
-def test_header_anywhere_in_the_window(spark, tmp_path, rows):
+def test_header_anywhere(spark, tmp_path, rows):
     put(tmp_path / "a.csv", "Titre\n\nnote;x\nCode commune INSEE;APL\n01001;2.5\n01002;\n")
     put(tmp_path / "b.csv", "Commune;APL\n02001;1.5\nCommune fictive;9\n")
     late = "".join(f"ligne {i};0\n" for i in range(20))
@@ -106,8 +106,32 @@ def test_header_anywhere_in_the_window(spark, tmp_path, rows):
         ("b", "02001", 1.5),
         ("b", "Commune fictive", 9.0),
     ]
-    # keyword only beyond the window: line 0 counts as the header
-    assert sum(r[0] == "c" for r in rows(got)) == 21
+    assert [r for r in rows(got) if r[0] == "c"] == [("c", "03001", 7.0)]
+    # only where a window is asked for, line 0 stands in for a header beyond it
+    short = preamble.read_after_header(spark, f"{tmp_path}/c.csv", APL, window=15)
+    assert short.count() == 21
+    put(tmp_path / "d.csv", "no;header\n1;2\n")
+    with pytest.raises(Exception, match="no header in the first split"):
+        preamble.read_after_header(spark, f"{tmp_path}/d.csv", APL).collect()
+
+
+def test_preambles_are_decoded(spark, tmp_path, rows):
+    text = "Titre é\nCommune;APL\nSaint-Étienne;1.5\nBègles;2\n"
+    path = put(tmp_path / "l.csv", text, "latin-1")
+    want = [("Bègles", 2.0), ("Saint-Étienne", 1.5)]
+    assert rows(preamble.read_after_header(spark, path, APL, encoding="ISO-8859-1").drop("file")) == want
+    assert rows(preamble.read_skipping(spark, path, APL, skip=1, encoding="ISO-8859-1").drop("file")) == want
+
+
+def test_quoted_line_breaks(spark, tmp_path, rows):
+    path = put(tmp_path / "q.csv", 'n;a\n1;"a\nb"\n2;c\n')
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("a", T.StringType())])
+    assert rows(readers.read_delimited(spark, path, schema, sep=";", multi_line=True)) == [(1, "a\nb"), (2, "c")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_delimited(spark, path, schema, sep=";").collect()
+    assert rows(readers.read_tolerant(spark, path, schema, sep=";")) == [(2, "c")]
+    bad = readers.read_quarantined(spark, path, schema, sep=";").where(F.col(readers.CORRUPT).isNotNull())
+    assert rows(bad.select(readers.CORRUPT)) == [('1;"a',), ('b"',)]
 
 
 def test_header_detection_in_a_file_of_many_splits(spark, tmp_path, rows):
@@ -135,7 +159,8 @@ def test_header_rows_of_numbered_lines(frame, rows):
         "file string, line_no int, value string",
         ("a", 0, "x"), ("a", 1, "Commune"), ("a", 2, "Commune"), ("b", 0, "x"), ("b", 15, "Commune"),
     )
-    headers = preamble.header_rows(lines)
+    assert rows(preamble.header_rows(lines)) == [("a", 1), ("b", 15)]
+    headers = preamble.header_rows(lines, window=15)
     assert rows(headers) == [("a", 1), ("b", 0)]
     assert rows(preamble.data_lines(lines, headers).select("file", "line_no")) == [("a", 2), ("b", 15)]
 
