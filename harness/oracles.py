@@ -781,3 +781,46 @@ def _null_pattern() -> str:
 
 
 ORACLES["null_pattern"] = _null_pattern()
+
+# Files that are written and read: what the readers should give.
+ORACLES |= {
+    "csv_comma_as_text": """
+SELECT LPAD(CAST(c_custkey AS VARCHAR), 5, '0') AS code, 'Bègles, ' || c_name AS name FROM customer
+""",
+    "csv_quoted_line_breaks": """
+SELECT doc_id, CAST(LENGTH(t) AS INTEGER) AS n_chars, SHA256(t) AS digest
+FROM (SELECT doc_id, '< ' || TRANSLATE(text, '"\\' || CHR(13), '') || ' >' AS t FROM documents)
+""",
+    "csv_latin1": """
+SELECT CAST(s_suppkey AS VARCHAR) AS siren, 'Communauté d''Évry ' || s_name AS raison_sociale FROM supplier
+""",
+    "csv_fixed_preamble": "SELECT p_partkey AS id, p_name AS nom, CAST(p_size AS INTEGER) AS taille FROM part",
+    "csv_late_header": "SELECT s_suppkey AS supplier, CAST(s_nationkey AS INTEGER) AS nation FROM supplier",
+    "csv_positional": """
+SELECT o_orderpriority AS priority, CAST(o_custkey AS VARCHAR) AS customer FROM orders
+""",
+    "csv_tolerant": """
+SELECT o_orderkey AS id, CAST(o_custkey AS INTEGER) AS client FROM orders WHERE o_orderkey % 10 NOT IN (3, 7)
+""",
+    "csv_quarantined": """
+SELECT CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderkey % 10 = 3 THEN ';bad' ELSE ';"1' END AS line
+FROM orders WHERE o_orderkey % 10 IN (3, 7)
+""",
+    "csv_like_named": f"""
+WITH {REGISTER}
+SELECT insee AS adrs_codeinsee, cp AS adrs_codepostal FROM reg WHERE position = 'A'
+""",
+    "csv_regional": """
+SELECT 'E' || CAST(event_id AS VARCHAR) AS "NUMERO_AMALIA", 'COMMUNE ' || CAST(user_id // 3 AS VARCHAR) AS "COMMUNE",
+       CASE WHEN event_type = 'error' THEN '570000'
+            ELSE LPAD(CAST(1000 + (user_id // 10) * 613 % 95000 AS VARCHAR), 5, '0') END AS "CODE_POSTAL",
+       CASE WHEN event_type = 'click' THEN 'RADIEE' ELSE 'INSCRITE' END AS "ETAT_ASSOCIATION"
+FROM events
+""",
+    "layout_files": f"""
+SELECT c.dept, c.id_epci, c.nom_epci, c.valeur_brute, s.annee
+FROM ({ORACLES["layout_complete"]}) c LEFT JOIN ({ORACLES["layout_short"]}) s USING (id_epci)
+""",
+}
+ORACLES["json_page_files"] = ORACLES["paged_records"]
+ORACLES["directory_files"] = ORACLES["directory_entries"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -753,3 +753,162 @@ def text_keywords(spark, sf):
         F.count("year").alias("n_years"),
         F.max("year").alias("latest"),
     )
+
+
+# --- files: written by Spark to the shared folder, read by the readers ---------------
+
+
+def _lines(df: DataFrame, path: str, head: str, line: Column) -> str:
+    """Text files, each beginning with ``head``."""
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    text = F.when(first, F.concat(F.lit(head + "\n"), line)).otherwise(line)
+    df.select(text.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def _cell(name: str) -> Column:
+    return F.col(name).cast("string")
+
+
+@query
+def csv_comma_as_text(spark, sf):
+    """Comma-separated, quoted and accented, all columns as text."""
+    path = roles.scratch(spark, "comma_csv")
+    customer = table(spark, sf, "customer").select(
+        F.lpad(_cell("c_custkey"), 5, "0").alias("code"),
+        F.concat(F.lit("Bègles, "), "c_name").alias("name"),
+    )
+    writers.write_csv(customer, path)
+    return readers.read_delimited(spark, path, readers.text_schema("code", "name"))
+
+
+@query
+def csv_quoted_line_breaks(spark, sf):
+    """Line breaks within quotes."""
+    path = roles.scratch(spark, "breaks_csv")
+    plain = F.translate("text", '"\\\r', "")
+    documents = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("< "), plain, F.lit(" >")).alias("text"))
+    writers.write_csv(documents, path, sep=";")
+    rows = readers.read_delimited(spark, path, "doc_id long, text string", sep=";", multi_line=True)
+    return rows.select("doc_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+
+
+@query
+def csv_latin1(spark, sf):
+    """Latin-1 text with accents."""
+    path = roles.scratch(spark, "latin1_csv")
+    supplier = table(spark, sf, "supplier").select(
+        _cell("s_suppkey").alias("siren"), F.concat(F.lit("Communauté d'Évry "), "s_name").alias("raison_sociale")
+    )
+    supplier.write.mode("overwrite").csv(path, header=True, sep=";", encoding="ISO-8859-1")
+    return readers.read_latin1(spark, path, readers.text_schema("siren", "raison_sociale"))
+
+
+@query
+def csv_fixed_preamble(spark, sf):
+    """Two lines of notes and a header before the rows of each file."""
+    line = F.concat_ws(";", _cell("p_partkey"), "p_name", _cell("p_size"))
+    path = _lines(table(spark, sf, "part"), roles.scratch(spark, "preamble_csv"), "Source\n2024\nid;nom;taille", line)
+    rows = preamble.read_skipping(spark, path, T.StructType.fromDDL("id long, nom string, taille int"), skip=2)
+    return rows.select("id", "nom", "taille")
+
+
+@query
+def csv_late_header(spark, sf):
+    """A header on line 21, below notes that look like rows."""
+    notes = "\n".join(f"note {i};0" for i in range(20))
+    line = F.concat_ws(";", _cell("s_suppkey"), _cell("s_nationkey"))
+    path = _lines(table(spark, sf, "supplier"), roles.scratch(spark, "late_csv"), f"{notes}\nCommune;nation", line)
+    rows = preamble.read_after_header(spark, path, T.StructType.fromDDL("supplier long, nation int"))
+    return rows.select("supplier", "nation")
+
+
+@query
+def csv_positional(spark, sf):
+    """Second and fourth column of files whose first line names nothing."""
+    line = F.concat_ws(";", _cell("o_orderkey"), "o_orderpriority", "o_orderstatus", _cell("o_custkey"))
+    path = _lines(table(spark, sf, "orders"), roles.scratch(spark, "positional_csv"), "meta;etalab;v1;x", line)
+    return readers.read_positional(spark, path, {1: "priority", 3: "customer"})
+
+
+def _dirty(spark: SparkSession, sf: str, name: str) -> tuple[str, T.StructType]:
+    """Orders as lines, of which some hold no number and some an open quote."""
+    key = F.col("o_orderkey")
+    line = (
+        F.when(key % 10 == 3, F.concat_ws(";", _cell("o_orderkey"), F.lit("bad")))
+        .when(key % 10 == 7, F.concat(_cell("o_orderkey"), F.lit(';"1')))
+        .otherwise(F.concat_ws(";", _cell("o_orderkey"), _cell("o_custkey")))
+    )
+    path = _lines(table(spark, sf, "orders"), roles.scratch(spark, name), "id;client", line)
+    return path, T.StructType.fromDDL("id long, client int")
+
+
+@query
+def csv_tolerant(spark, sf):
+    """Malformed lines are left out."""
+    path, schema = _dirty(spark, sf, "tolerant_csv")
+    return readers.read_tolerant(spark, path, schema, sep=";")
+
+
+@query
+def csv_quarantined(spark, sf):
+    """Malformed lines, as they stand."""
+    path, schema = _dirty(spark, sf, "quarantined_csv")
+    rows = readers.read_quarantined(spark, path, schema, sep=";")
+    return rows.where(F.col(readers.CORRUPT).isNotNull()).select(F.col(readers.CORRUPT).alias("line"))
+
+
+@query
+def csv_like_named(spark, sf):
+    """Active associations of all like-named files; another file lies beside them."""
+    folder = roles.scratch(spark, "like_named")
+    register = roles.associations(spark, sf)
+    for name, odd in (("rna_waldec_0.csv", 0), ("rna_waldec_1.csv", 1), ("other.csv", 0)):
+        part = register.where(F.col("id").cast("long") % 2 == odd)
+        writers.write_csv(part, f"{folder}/{name}", sep=";")
+    schema = readers.text_schema("id", "position", "adrs_codeinsee", "adrs_codepostal")
+    return readers.read_active(spark, folder, schema)
+
+
+@query
+def csv_regional(spark, sf):
+    """Regional files in one scan."""
+    register = roles.regional_register(spark, sf)
+    paths = []
+    for k in range(3):
+        paths.append(f"{roles.scratch(spark, 'regional')}/asso_{k}.csv")
+        writers.write_csv(register.where(F.pmod(F.length("NUMERO_AMALIA"), F.lit(3)) == k), paths[-1], sep=";")
+    schema = readers.text_schema("NUMERO_AMALIA", "COMMUNE", "CODE_POSTAL", "ETAT_ASSOCIATION")
+    return readers.read_delimited(spark, paths, schema, sep=";")
+
+
+@query
+def json_page_files(spark, sf):
+    """One JSON page per file."""
+    path = roles.scratch(spark, "page_files")
+    pages = roles.childcare_pages(spark, sf).select(F.col("page").alias("value"))
+    pages.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return paged_json.read_pages(spark, path, schemas.CHILDCARE_RECORD)
+
+
+@query
+def directory_files(spark, sf):
+    """The media directory as text files."""
+    path = roles.scratch(spark, "directory_files")
+    lines = roles.directory(spark, sf).select(F.explode(F.split("html", "\n")).alias("value"))
+    lines.write.mode("overwrite").text(path)
+    return links.read_directory(spark, path)
+
+
+@query
+def layout_files(spark, sf):
+    """Both layouts of an indicator, written and read back."""
+    folder = roles.scratch(spark, "layouts")
+    writers.write_layouts(_disasters(spark, sf), folder)
+    short = readers.text_schema("id_epci", "id_indicator", "valeur_brute", "annee")
+    complete = readers.text_schema("dept", "id_epci", "nom_epci", "id_indicator", "valeur_brute")
+    rows = readers.read_delimited(spark, f"{folder}/i158_complete", complete)
+    years = readers.read_delimited(spark, f"{folder}/i158_short", short).select("id_epci", "annee")
+    return rows.join(years, "id_epci", "left").select(
+        "dept", "id_epci", "nom_epci", F.col("valeur_brute").cast("double").alias("valeur_brute"), "annee"
+    )
