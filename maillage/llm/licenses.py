@@ -169,7 +169,9 @@ def fit(lines: list[str], setting: Setting = Setting()) -> Model:
 def train(documents: DataFrame, setting: Setting = Setting(), text: str = "text", key: str = "doc_id") -> Model:
     """A model from the templates and a bounded sample of documents."""
     rows = documents.where(documents[text].isNotNull()).select(documents[key].alias("key"), documents[text].alias("text"))
-    found = rows.orderBy(F.xxhash64("key"), "key").limit(setting.sample_documents).select(F.explode(F.split("text", "\n")).alias("line"))
+    # Ids first, so that no task gathers texts it does not need; at most sample_documents ids.
+    ids = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(setting.sample_documents)
+    found = rows.join(F.broadcast(ids), "key").select(F.explode(F.split("text", "\n")).alias("line"))
     return fit([r["line"] for r in found.where("line <> ''").orderBy(F.xxhash64("line"), "line").limit(8000).collect()], setting)
 
 
