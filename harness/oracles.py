@@ -824,3 +824,49 @@ FROM ({ORACLES["layout_complete"]}) c LEFT JOIN ({ORACLES["layout_short"]}) s US
 }
 ORACLES["json_page_files"] = ORACLES["paged_records"]
 ORACLES["directory_files"] = ORACLES["directory_entries"]
+
+
+def _short(name: str, code: str, year: str, key: str, how: str, rows: str) -> str:
+    """Short layout out of the complete one's common tables."""
+    common = ORACLES[name].removesuffix(complete(code, key, how))
+    return f"{common}\nSELECT {rows.split()[0]} AS id_epci, '{code}' AS id_indicator, v AS valeur_brute, '{year}' AS annee\nFROM {rows.partition(' ')[2]}\n"
+
+
+# The layouts that the plain names do not give.
+ORACLES |= {
+    "ind_cycle_path_density_short": _short("ind_cycle_path_density", "i058", "2025", "epci_code", "LEFT", "epci_code val"),
+    "ind_digital_help_short": _short("ind_digital_help", "i095", "2026", "epci_code", "RIGHT", "id_epci dim RIGHT JOIN val ON epci_code = id_epci"),
+    "ind_farm_share_short": _short("ind_farm_share", "i113", "2025", "geocode", "LEFT", "geocode val"),
+    "ind_risk_count_short": _short("ind_risk_count", "i119", "2019", "epci_code", "LEFT", "epci_code val"),
+    "ind_emergency_distance_short": _short("ind_emergency_distance", "i148", "2024", "epci_code", "RIGHT", "id_epci dim LEFT JOIN val ON epci_code = id_epci"),
+    "ind_independent_media_short": f"""
+WITH {LOCATED}
+SELECT epci_code AS id_epci, 'i096' AS id_indicator, COUNT(*) AS valeur_brute, '2024' AS annee
+FROM free GROUP BY epci_code
+""",
+    "ind_pesticide_intensity_short": f"""
+{PESTICIDE}
+SELECT siren AS id_epci, 'i114' AS id_indicator,
+       ROUND(q / NULLIF(ROUND(CAST(valeur AS DOUBLE), 2), 0), 3) AS valeur_brute, '2023' AS annee
+FROM yearly JOIN farm ON geocode = siren WHERE annee = 2000
+""",
+    "ind_childcare_coverage_short": """
+SELECT LPAD(CAST(s_suppkey AS VARCHAR), 9, '0') AS id_epci, 'i130' AS id_indicator,
+       CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS valeur_brute, '2023' AS annee
+FROM supplier
+""",
+    "ind_pharmacy_distance_complete": f"""
+WITH {DIM}, short AS ({ORACLES["ind_pharmacy_distance"]})
+SELECT dept, dim.id_epci, nom_epci, 'i147' AS id_indicator, valeur_brute
+FROM dim RIGHT JOIN short ON short.id_epci = dim.id_epci
+""",
+    "ind_carpool_trips_complete": f"""
+WITH {DIM}, {TRIPS}
+SELECT dept, id_epci, nom_epci, 'i150' AS id_indicator, ROUND(v / pop * 10000, 3) AS valeur_brute
+FROM dim LEFT JOIN trips ON '2' || LPAD(CAST(s_nationkey AS VARCHAR), 8, '0') = id_epci
+""",
+}
+for _name in ("ind_pharmacy_density", "ind_association_density", "ind_carpool_areas"):
+    ORACLES[f"{_name}_short"] = f"""
+SELECT id_epci, id_indicator, valeur_brute, '2025' AS annee FROM ({ORACLES[_name]})
+"""

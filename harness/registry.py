@@ -27,6 +27,18 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def layouts(default: str) -> Callable[[Callable[..., Indicator]], Callable[..., Indicator]]:
+    """Registers both layouts of an indicator, the default one under the plain name."""
+    other = {"complete": "short", "short": "complete"}[default]
+
+    def register(fn: Callable[..., Indicator]) -> Callable[..., Indicator]:
+        QUERIES[fn.__name__] = lambda spark, sf: getattr(fn(spark, sf), default)()
+        QUERIES[f"{fn.__name__}_{other}"] = lambda spark, sf: getattr(fn(spark, sf), other)()
+        return fn
+
+    return register
+
+
 # --- indicators --------------------------------------------------------------------
 
 
@@ -48,15 +60,15 @@ def layout_short(spark, sf):
     return _disasters(spark, sf).short()
 
 
-@query
-def ind_cycle_path_density(spark, sf):
+@layouts("complete")
+def ind_cycle_path_density(spark, sf) -> Indicator:
     lines = dimensions.line_geometries(roles.geometries(spark, sf))
     paths = geo.path_lengths(
         roles.vertices(lines), path=["id_osm"], keep=["code_com_d"], chunk=16
     )
     sheet = dimensions.artificial_area(roles.artificial_sheet(spark, sf))
     communes, members = roles.communes(spark, sf), roles.membership(spark, sf)
-    return indicators.cycle_path_density(paths, communes, sheet, members).complete()
+    return indicators.cycle_path_density(paths, communes, sheet, members)
 
 
 @query
@@ -66,11 +78,11 @@ def count_per_area(spark, sf):
     return indicators.path_count_density(lines, roles.communes(spark, sf), sheet)
 
 
-@query
-def ind_pharmacy_density(spark, sf):
+@layouts("complete")
+def ind_pharmacy_density(spark, sf) -> Indicator:
     found = indicators.pharmacies(roles.pharmacy_register(spark, sf))
     communes, members = roles.communes(spark, sf), roles.membership(spark, sf)
-    return indicators.pharmacy_density(found, communes, members).complete()
+    return indicators.pharmacy_density(found, communes, members)
 
 
 @query
@@ -80,11 +92,11 @@ def ind_pharmacy_density_once(spark, sf):
     return indicators.pharmacy_density(found, communes, members, dedupe=True).short()
 
 
-@query
-def ind_digital_help(spark, sf):
+@layouts("complete")
+def ind_digital_help(spark, sf) -> Indicator:
     sites, communes = roles.help_sites(spark, sf), roles.communes(spark, sf)
     members = roles.membership(spark, sf)
-    return indicators.digital_help_density(sites, communes, members).complete()
+    return indicators.digital_help_density(sites, communes, members)
 
 
 # Rules in the style of the fixed ones, for the communes of the given tables.
@@ -109,10 +121,10 @@ def _located(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
-def ind_independent_media(spark, sf):
+@layouts("complete")
+def ind_independent_media(spark, sf) -> Indicator:
     kept = indicators.independent_media(_located(spark, sf), roles.dependent_media(spark, sf))
-    return indicators.media_count(kept, roles.membership(spark, sf)).complete()
+    return indicators.media_count(kept, roles.membership(spark, sf))
 
 
 @query
@@ -126,21 +138,21 @@ def located_media(spark, sf):
     return _located(spark, sf)
 
 
-@query
-def ind_farm_share(spark, sf):
+@layouts("complete")
+def ind_farm_share(spark, sf) -> Indicator:
     areas, communes = roles.farm_area(spark, sf), roles.communes(spark, sf)
     members = roles.membership(spark, sf)
-    return indicators.farm_share(areas, communes, members, measured="2000").complete()
+    return indicators.farm_share(areas, communes, members, measured="2000")
 
 
-@query
-def ind_pesticide_intensity(spark, sf):
+@layouts("complete")
+def ind_pesticide_intensity(spark, sf) -> Indicator:
     return indicators.pesticide_intensity(
         roles.purchases(spark, sf),
         roles.farm_area(spark, sf),
         roles.membership(spark, sf),
         measured=F.col("date_mesure").startswith("2000"),
-    ).complete()
+    )
 
 
 @query
@@ -155,18 +167,18 @@ def ind_pesticide_intensity_since(spark, sf):
     ).short()
 
 
-@query
-def ind_risk_count(spark, sf):
+@layouts("complete")
+def ind_risk_count(spark, sf) -> Indicator:
     risks, communes = roles.risks(spark, sf), roles.communes(spark, sf)
-    return indicators.risk_count(risks, communes, roles.membership(spark, sf)).complete()
+    return indicators.risk_count(risks, communes, roles.membership(spark, sf))
 
 
-@query
-def ind_childcare_coverage(spark, sf):
+@layouts("complete")
+def ind_childcare_coverage(spark, sf) -> Indicator:
     pages = roles.childcare_pages(spark, sf)
     rows = paged_json.records(pages, "page", schemas.CHILDCARE_RECORD)
     members = roles.childcare_membership(spark, sf)
-    return indicators.childcare_coverage(rows, members).complete()
+    return indicators.childcare_coverage(rows, members)
 
 
 def _associations(spark: SparkSession, sf: str, repair: bool) -> Indicator:
@@ -178,9 +190,9 @@ def _associations(spark: SparkSession, sf: str, repair: bool) -> Indicator:
     return indicators.association_density(national, regional, roles.membership(spark, sf))
 
 
-@query
-def ind_association_density(spark, sf):
-    return _associations(spark, sf, repair=True).complete()
+@layouts("complete")
+def ind_association_density(spark, sf) -> Indicator:
+    return _associations(spark, sf, repair=True)
 
 
 @query
@@ -188,28 +200,28 @@ def ind_association_density_unrepaired(spark, sf):
     return _associations(spark, sf, repair=False).short()
 
 
-@query
-def ind_pharmacy_distance(spark, sf):
+@layouts("short")
+def ind_pharmacy_distance(spark, sf) -> Indicator:
     facts, communes = roles.distances(spark, sf), roles.communes(spark, sf)
-    return indicators.pharmacy_distance(facts, communes, roles.membership(spark, sf)).short()
+    return indicators.pharmacy_distance(facts, communes, roles.membership(spark, sf))
 
 
-@query
-def ind_emergency_distance(spark, sf):
+@layouts("complete")
+def ind_emergency_distance(spark, sf) -> Indicator:
     facts, communes = roles.distances(spark, sf), roles.communes(spark, sf)
-    return indicators.emergency_distance(facts, communes, roles.membership(spark, sf)).complete()
+    return indicators.emergency_distance(facts, communes, roles.membership(spark, sf))
 
 
-@query
-def ind_carpool_areas(spark, sf):
+@layouts("complete")
+def ind_carpool_areas(spark, sf) -> Indicator:
     members = roles.membership(spark, sf)
-    return indicators.carpool_area_density(roles.carpool_areas(spark, sf), members).complete()
+    return indicators.carpool_area_density(roles.carpool_areas(spark, sf), members)
 
 
-@query
-def ind_carpool_trips(spark, sf):
+@layouts("short")
+def ind_carpool_trips(spark, sf) -> Indicator:
     members = roles.membership(spark, sf)
-    return indicators.carpool_trip_density(roles.carpool_trips(spark, sf), members).short()
+    return indicators.carpool_trip_density(roles.carpool_trips(spark, sf), members)
 
 
 @query
