@@ -870,3 +870,4 @@ for _name in ("ind_pharmacy_density", "ind_association_density", "ind_carpool_ar
     ORACLES[f"{_name}_short"] = f"""
 SELECT id_epci, id_indicator, valeur_brute, '2025' AS annee FROM ({ORACLES[_name]})
 """
+ORACLES["line_lengths_of_vertices"] = ORACLES["line_lengths"]

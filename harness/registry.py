@@ -63,9 +63,8 @@ def layout_short(spark, sf):
 @layouts("complete")
 def ind_cycle_path_density(spark, sf) -> Indicator:
     lines = dimensions.line_geometries(roles.geometries(spark, sf))
-    paths = geo.path_lengths(
-        roles.vertices(lines), path=["id_osm"], keep=["code_com_d"], chunk=16
-    )
+    length = geo.row_length(roles.points()).alias("distance_km")
+    paths = lines.select("id_osm", "code_com_d", length)
     sheet = dimensions.artificial_area(roles.artificial_sheet(spark, sf))
     communes, members = roles.communes(spark, sf), roles.membership(spark, sf)
     return indicators.cycle_path_density(paths, communes, sheet, members)
@@ -466,7 +465,15 @@ def artificial_area(spark, sf):
 def line_lengths(spark, sf):
     """Projected length of every line geometry, in km with four digits."""
     lines = dimensions.line_geometries(roles.geometries(spark, sf))
-    parts = geo.path_lengths(roles.vertices(lines), path=["id_osm"], chunk=16)
+    length = geo.row_length(roles.points())
+    return lines.select("id_osm", numbers.round_half(length, 4).alias("distance_km"))
+
+
+@query
+def line_lengths_of_vertices(spark, sf):
+    """The same from a table of vertices."""
+    lines = dimensions.line_geometries(roles.geometries(spark, sf))
+    parts = geo.path_lengths(roles.vertices(lines), path=["id_osm"])
     return parts.groupBy("id_osm").agg(
         numbers.round_half(F.sum("distance_km"), 4).alias("distance_km")
     )

@@ -337,18 +337,22 @@ def geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vertices(lines: DataFrame) -> DataFrame:
-    """Vertex rows of the geometries, in degrees."""
+def points() -> Column:
+    """Vertices of a geometry, in degrees."""
     number = F.col("geometry")
     starts = F.sequence(F.lit(0), F.size("geometry") - 2, F.lit(2))
-    point = F.transform(
+    return F.transform(
         starts,
         lambda i: F.struct(
             (F.lit(2.0) + 4.0 * number[i].cast("double")).alias("lon"),
             (F.lit(46.0) + 4.0 * number[i + 1].cast("double")).alias("lat"),
         ),
     )
-    exploded = lines.select("id_osm", "code_com_d", F.posexplode(point).alias("seq", "p"))
+
+
+def vertices(lines: DataFrame) -> DataFrame:
+    """Vertex rows of the geometries, in degrees."""
+    exploded = lines.select("id_osm", "code_com_d", F.posexplode(points()).alias("seq", "p"))
     return exploded.select("id_osm", "code_com_d", "seq", "p.lon", "p.lat")
 
 

@@ -55,6 +55,27 @@ def lambert93(lon: Column, lat: Column) -> tuple[Column, Column]:
     return x, y
 
 
+def row_length(points: Column) -> Column:
+    """Length in km of a path held in its row: an array of structs ``lon, lat``. No
+    shuffle. As in ``path_lengths``, steps from or to an incomplete point are left out,
+    and a path without any step has no length."""
+
+    def projected(p: Column) -> Column:
+        x, y = lambert93(p["lon"], p["lat"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    def step(a: Column, b: Column) -> Column:
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        return F.sqrt(dx * dx + dy * dy).cast(METRES)
+
+    ends = F.transform(points, projected)
+    count = F.greatest(F.size(ends) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(ends, 1, count), F.slice(ends, 2, count), step)
+    none = F.lit(None).cast(METRES)
+    metres = F.aggregate(steps, none, lambda s, m: F.coalesce((s + m).cast(METRES), s, m))
+    return (metres / 1000).cast(KILOMETRES)
+
+
 def path_lengths(
     vertices: DataFrame,
     *,

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from maillage.operators.geo import lambert93, path_lengths
+from maillage.operators.geo import lambert93, path_lengths, row_length
 
 
 def test_projection_of_known_points(spark):
@@ -72,3 +72,13 @@ def test_lengths_equal_the_sum_of_the_steps(walk):
 def test_no_task_holds_a_whole_long_path(walk):
     plan = path_lengths(walk, path=["p", "part"])._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(p" in plan and "_stretch" in plan
+
+
+def test_lengths_within_the_row(walk):
+    paths = walk.groupBy("p", "part").agg(F.sort_array(F.collect_list(F.struct("seq", "lon", "lat"))).alias("v"))
+    inside = paths.select("p", "part", row_length(F.col("v")).alias("km"))
+    assert "Window" not in inside._jdf.queryExecution().executedPlan().toString()
+    parts = path_lengths(walk, path=["p", "part"]).groupBy("p", "part").agg(F.sum("distance_km").alias("km"))
+    assert {tuple(r) for r in inside.collect()} == {tuple(r) for r in parts.collect()}
+    few = walk.sparkSession.sql("SELECT CAST(NULL AS array<struct<lon:double,lat:double>>) a UNION ALL SELECT array() UNION ALL SELECT array(named_struct('lon', 2D, 'lat', 46D))")
+    assert sorted(str(r[0]) for r in few.select(row_length(F.col("a"))).collect()) == ["None", "None", "None"]
