@@ -400,7 +400,9 @@ FROM dim LEFT JOIN val ON siren = id_epci
 SELECT siren AS id_epci, 'i114' AS id_indicator,
        ROUND(q / NULLIF(ROUND(CAST(valeur AS DOUBLE), 2), 0), 4) AS valeur_brute,
        '2023' AS annee
-FROM yearly JOIN farm ON geocode = siren WHERE annee >= 2000
+FROM yearly
+JOIN (SELECT geocode, MAX_BY(valeur, annee) AS valeur FROM farm WHERE annee >= 2000 GROUP BY geocode)
+  ON geocode = siren
 """,
     "ind_risk_count": f"""
 WITH {COMMUNE}, {DIM},

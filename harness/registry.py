@@ -156,7 +156,7 @@ def ind_pesticide_intensity(spark, sf) -> Indicator:
 
 @query
 def ind_pesticide_intensity_since(spark, sf):
-    """Draft variant: area table picked by date, four digits."""
+    """Draft variant: newest row of the area table since a date, four digits."""
     return indicators.pesticide_intensity(
         roles.purchases(spark, sf),
         roles.farm_area(spark, sf),

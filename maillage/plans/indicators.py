@@ -286,7 +286,8 @@ def pesticide_intensity(
 ) -> Indicator:
     """i114: mean yearly quantity of substance per agricultural hectare.
 
-    ``measured`` picks the rows of the area table; by default those dated 2020.
+    ``measured`` picks the rows of the area table; by default those dated 2020. Of
+    several rows of a grouping the newest counts, so that it has one value.
     """
     per_area = totals_by(
         purchases.select("annee", "code_insee", to_measure(F.col("quantite_substance")).alias("q")),
@@ -299,7 +300,11 @@ def pesticide_intensity(
     yearly = mean_per_year(bought, key="siren", year="annee", measure="q")
     picked = F.col("date_mesure").startswith("2020") if measured is None else measured
     hectares = farm_area.where(~F.col("geocode_epci").like("Z%") & picked).select(
-        "geocode_epci", round_half(F.col("valeur").try_cast("double"), 2).alias("sau_ha")
+        "geocode_epci",
+        F.struct("date_mesure", round_half(F.col("valeur").try_cast("double"), 2).alias("ha")).alias("dated"),
+    )
+    hectares = totals_by(hectares, "geocode_epci", newest=F.max("dated")).select(
+        "geocode_epci", F.col("newest.ha").alias("sau_ha")
     )
     values = yearly.join(hectares, F.col("siren") == F.col("geocode_epci")).select(
         F.col("siren").alias("id_epci"),
