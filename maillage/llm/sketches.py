@@ -17,8 +17,10 @@ times as large each time. Likeness is the Jaccard coefficient of the digest sets
 numbers of digests and of recovered differences. The fingerprint itself is a base sketch of
 BASE cells over all digests of the text, so equal texts have equal fingerprints.
 
-Everything is DataFrame work: no Python runs on executors. Texts are shuffled once, by
-ranges of their ids; all that follows stays in that partitioning.
+Everything is DataFrame work: no Python runs on executors. Texts are shuffled by
+ranges of their ids (by each of the two branches that read them); all that follows stays
+in that partitioning. For that, spark.sql.requireAllClusterKeysForCoPartition is set to
+false in the session.
 
 Nulls: a null text is an empty one. Two texts without paragraphs have likeness 1, one with
 and one without 0. Documents are in the order of their ids, rows with the same id in the
@@ -200,6 +202,9 @@ def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     """Rows (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, recovered): each text against an edited one, whose last quarter of code
     points is replaced by the first as many of the next document, and against that document."""
+    # Both sides of the join below are partitioned by range already; this lets Spark use
+    # that for the longer join key instead of shuffling both again.
+    df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     rows = with_next(df, text, key).withColumn("n_chars", n.cast("long"))
