@@ -1,12 +1,19 @@
 """Operator 7: licence scans by a trained paragraph classifier, confirmed by templates.
 
-Paragraphs are the lines of a text. A multinomial logistic regression over hashed word
+Paragraphs are the lines of a text, and notices wrapped over successive lines that are not
+blank (comment marks do not count): windows over such lines, somewhat longer than a
+template, that have `confirm` of its 2-grams are looked at like lines. A wrapped notice
+has the number of its first line; where a line of the window is confirmed alone, that
+line stands for it. n_paragraphs counts lines. A multinomial logistic regression over hashed word
 1-grams and 2-grams names a licence family or "unknown". It is trained here, on variants
 of the families' templates (words left out, other words around them) and, for "unknown",
 on the lines of a bounded sample of documents (at most `sample_documents`, those with the
 smallest hashes of their ids) and on lines mixed from template words out of order. A part
 set aside calibrates it: a temperature for the probabilities, and the least probability
-at which at most `false_rate` of unknown lines would be named.
+at which at most `false_rate` of unknown lines would be named. Fitting is bounded: at most
+`sample_lines` lines of the sample are collected; at most `plain_lines` of them, each by its
+first `line_words` words, train "unknown"; the first `filler_words` words of `filler_lines`
+of them are what stands around the templates.
 
 A prediction is confirmed by comparing with the family's templates: the share of a
 template's 2-grams that the paragraph has must reach `confirm`. As a paragraph without a
@@ -72,6 +79,11 @@ UNKNOWN = "unknown"
 class Setting:
     buckets: int = 1 << 15
     sample_documents: int = 300
+    sample_lines: int = 8000
+    plain_lines: int = 6000
+    line_words: int = 200
+    filler_lines: int = 2000
+    filler_words: int = 30
     variants: int = 60
     confirm: float = 0.6
     false_rate: float = 0.001
@@ -96,6 +108,14 @@ def pairs(words: list[str]) -> set[tuple[str, str]]:
 
 
 GRAMS = {f: [pairs(words_of(t)) for t in ts] for f, ts in TEMPLATES.items()}
+#: Templates (family, words, 2-grams) and, for each 2-gram, which of them have it.
+WHOLE = [(f, len(words_of(t)), pairs(words_of(t))) for f, ts in TEMPLATES.items() for t in ts]
+HOLDERS: dict[tuple[str, str], list[int]] = {}
+for _k, (_, _, _g) in enumerate(WHOLE):
+    for _pair in _g:
+        HOLDERS.setdefault(_pair, []).append(_k)
+#: Words that may stand in a wrapped notice besides its template's.
+SLACK = 5
 TELLING = {w for ts in TEMPLATES.values() for t in ts for w in words_of(t)} - COMMON
 
 
@@ -129,7 +149,7 @@ def fit(lines: list[str], setting: Setting = Setting()) -> Model:
     families = [UNKNOWN, *TEMPLATES]
     plain = [w for w in map(words_of, lines) if w]
     plain = [w for w in plain if max(overlap(" ".join(w), f) for f in TEMPLATES) < 0.3]
-    filler = [w for words in plain[:2000] for w in words[:30]] or ["lorem", "ipsum"]
+    filler = [w for words in plain[: setting.filler_lines] for w in words[: setting.filler_words]] or ["lorem", "ipsum"]
     own = [w for ts in TEMPLATES.values() for t in ts for w in words_of(t)]
     x: list[list[str]] = []
     y: list[int] = []
@@ -143,7 +163,7 @@ def fit(lines: list[str], setting: Setting = Setting()) -> Model:
                 y.append(k)
     mixed = [[str(w) for w in rng.choice(own, rng.integers(1, 9))] for _ in range(len(x) // 3)]
     mixed = [w for w in mixed if max(overlap(" ".join(w), f) for f in TEMPLATES) < setting.confirm]
-    x += [w[:200] for w in plain[:6000]] + mixed
+    x += [w[: setting.line_words] for w in plain[: setting.plain_lines]] + mixed
     y += [0] * (len(x) - len(y))
     y_all = np.array(y)
     sets = [features(w, setting.buckets) for w in x]
@@ -172,7 +192,7 @@ def train(documents: DataFrame, setting: Setting = Setting(), text: str = "text"
     # Ids first, so that no task gathers texts it does not need; at most sample_documents ids.
     ids = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(setting.sample_documents)
     found = rows.join(F.broadcast(ids), "key").select(F.explode(F.split("text", "\n")).alias("line"))
-    return fit([r["line"] for r in found.where("line <> ''").orderBy(F.xxhash64("line"), "line").limit(8000).collect()], setting)
+    return fit([r["line"] for r in found.where("line <> ''").orderBy(F.xxhash64("line"), "line").limit(setting.sample_lines).collect()], setting)
 
 
 def judged(model: Model, lines: list[str]) -> list[tuple[str, float, float, bool]]:
@@ -187,6 +207,58 @@ def judged(model: Model, lines: list[str]) -> list[tuple[str, float, float, bool
     return out
 
 
+def wrapped(lines: list[list[str]], confirm: float) -> list[tuple[int, int, str, str]]:
+    """(first line, last line, family, words) of windows over several successive lines
+    (their words; none in a blank one) that have `confirm` of a template's 2-grams."""
+    out = []
+    at = 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and lines[end]:
+            end += 1
+        if end - at > 1:
+            words = [w for line in lines[at:end] for w in line]
+            line_of = [k for k in range(at, end) for _ in lines[k]]
+            hits: dict[int, list[tuple[int, tuple[str, str]]]] = {}
+            for i, pair in enumerate(zip(words, words[1:], strict=False)):
+                for k in HOLDERS.get(pair, ()):
+                    hits.setdefault(k, []).append((i, pair))
+            for k, found in hits.items():
+                family, size, grams = WHOLE[k]
+                if len({g for _, g in found}) < confirm * len(grams):
+                    continue
+                width, since = size + SLACK, 0
+                shares = [len({g for i, g in found[s : s + width] if i + 1 < found[s][0] + width}) / len(grams) for s in range(len(found))]
+                while since < len(found):
+                    if shares[since] < confirm:
+                        since += 1
+                        continue
+                    near = [s for s in range(since, len(found)) if found[s][0] < found[since][0] + size]
+                    best = max(near, key=lambda s: shares[s])
+                    first = found[best][0]
+                    last = max(i for i, _ in found[best : best + width] if i + 1 < first + width) + 1
+                    if line_of[first] != line_of[last]:
+                        out.append((line_of[first], line_of[last], family, " ".join(words[first : last + 1])))
+                    while since < len(found) and found[since][0] <= last:
+                        since += 1
+        at = end + 1
+    return out
+
+
+def joined(model: Model, lines: list[str], alone: list[dict]) -> list[dict]:
+    """The confirmed lines of a text and, besides them, its wrapped notices."""
+    windows = wrapped([words_of(x) for x in lines], model.setting.confirm)
+    found = []
+    for (first, last, family, _), (named, p, share, sure) in zip(windows, judged(model, [w[3] for w in windows]), strict=True):
+        if sure and named == family and not any(f["family"] == family and first <= f["paragraph"] <= last for f in alone):
+            found.append((first, last, {"paragraph": first, "family": family, "probability": p, "share": share}))
+    kept: list[tuple[int, int, dict]] = []
+    for first, last, one in sorted(found, key=lambda f: (-f[2]["share"], f[0], f[1])):  # several templates of a family: the best
+        if not any(one["family"] == f["family"] and first <= b and a <= last for a, b, f in kept):
+            kept.append((first, last, one))
+    return sorted([*alone, *(f for _, _, f in kept)], key=lambda f: f["paragraph"])
+
+
 def scanned(documents: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows (key, n_paragraphs, found): the paragraphs with a licence, by their number,
     with family, probability and share of the template."""
@@ -212,6 +284,10 @@ def scanned(documents: DataFrame, model: Model, text: str = "text", key: str = "
                 for doc, line, (family, p, share, sure) in zip(owner.tolist(), near.tolist(), judged(sent.value, lines.take(pa.array(near)).to_pylist()), strict=True):
                     if sure:
                         out[doc].append({"paragraph": line - int(offsets[doc]), "family": family, "probability": p, "share": share})
+                for doc in np.unique(owner).tolist():
+                    a, b = int(offsets[doc]), int(offsets[doc + 1])
+                    if b - a > 1:
+                        out[doc] = joined(sent.value, lines.slice(a, b - a).to_pylist(), out[doc])
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(np.diff(filled)), pa.array(out, found_type)], ["key", "n_paragraphs", "found"])
 
     rows = documents.select(documents[key].alias("key"), documents[text].alias("text"))
