@@ -37,7 +37,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how alike they are."""
-    return sketches.fingerprinted(table(spark, sf_dir, "documents"))
+    return sketches.fingerprinted(table(spark, sf_dir, "documents"), cut=sketches.content_digests)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Operator 4 [native]: document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraphs (runs of at most WORDS words of a line), each is hashed to a
-64-bit digest. A sketch is a row of cells; a digest goes into one cell in each of HASHES
+A text is cut into paragraphs, each is hashed to a 64-bit digest. They end at words whose
+hash marks a bound, at line breaks, and MOST_WORDS words after the last bound (content_digests),
+so that a word put in moves the paragraphs around it only. A text of fewer than SHORT words
+also has its GRAM-character grams, blanks made one, among its digests. (digests, the default
+of fingerprinted, cuts each line into runs of WORDS words.) A sketch is a row of cells; a digest goes into one cell in each of HASHES
 equal parts, and a cell holds how many digests it got, the exclusive or of them, and the
 exclusive or of a second hash of each. Sketches of two versions subtract cell by cell:
 what both have cancels. A cell left with one digest gives it away (its second hash
@@ -30,6 +33,8 @@ row, of a single row itself. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +47,10 @@ ROUNDS = 24
 GROUP = 7
 #: Words of a paragraph at most.
 WORDS = 10
+#: One word in MARK ends a paragraph of content_digests, which has MOST_WORDS words at most.
+MARK, MOST_WORDS = 8, 16
+#: Texts of fewer words and line breaks also have their grams of GRAM characters.
+SHORT, GRAM = 48, 3
 #: Rows in a range of ids, about, and ranges at most (beyond, they get larger and spill).
 RANGE_ROWS, MOST_RANGES = 2000, 4096
 FIRST_KEY = -(1 << 63)
@@ -58,6 +67,22 @@ def digests(text: Column, words: int = WORDS) -> Column:
     return F.array_distinct(F.transform(paragraphs, lambda p: F.xxhash64(F.trim(p))))
 
 
+def content_digests(text: Column) -> Column:
+    """Different 64-bit digests of a text's paragraphs, cut by content, and of a short text's grams."""
+
+    def ended(token: Column) -> Column:
+        bound = F.pmod(F.xxhash64(token), F.lit(MARK)) == 0
+        return F.when(token == "\n", token).otherwise(F.concat(token, F.when(bound, F.lit("\n")).otherwise(F.lit(" "))))
+
+    def cut(tokens: Column) -> Column:
+        paragraphs = digests(F.array_join(F.transform(tokens, ended), ""), MOST_WORDS)
+        found = F.regexp_extract_all(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit(rf"(?=(.{{{GRAM}}}))"), F.lit(1))
+        grams = F.transform(found, lambda g: F.xxhash64(g, F.lit(2)))
+        return F.when(F.size(tokens) < SHORT, F.array_distinct(F.concat(paragraphs, grams))).otherwise(paragraphs)
+
+    return let(F.regexp_extract_all(text, F.lit(r"\S+|\n"), F.lit(0)), cut)
+
+
 def second(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(1))
 
@@ -198,10 +223,11 @@ def with_next(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     return both.where("not end").select("range", "row", "key", "text", "next_text")
 
 
-def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id", cut: Callable[[Column], Column] = digests) -> DataFrame:
     """Rows (key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, recovered): each text against an edited one, whose last quarter of code
-    points is replaced by the first as many of the next document, and against that document."""
+    points is replaced by the first as many of the next document, and against that document.
+    cut: the digests of a text."""
     # Both sides of the join below are partitioned by range already; this lets Spark use
     # that for the longer join key instead of shuffling both again.
     df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
@@ -209,7 +235,7 @@ def fingerprinted(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     quarter = F.floor(n / 4).cast("int")
     rows = with_next(df, text, key).withColumn("n_chars", n.cast("long"))
     rows = rows.withColumn("edited", F.concat(F.substring("text", 1, n - quarter), F.substring("next_text", 1, quarter)))
-    rows = rows.select("range", "row", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
+    rows = rows.select("range", "row", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), cut(F.col("text")).alias("a"), cut(F.col("edited")).alias("e"), cut(F.col("next_text")).alias("x"))
     na, ne, nx = F.size("a"), F.size("e"), F.size("x")
     # An edit changes less than a third of the digests of both; another document changes all.
     sizes = [F.greatest(F.lit(1), F.ceil((na + ne) * 0.3 / GROUP)).cast("int").alias("groups0"), F.greatest(F.lit(1), F.ceil((na + nx) / GROUP)).cast("int").alias("groups1")]
