@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,20 +22,46 @@ SLICE_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver found it."""
-    root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+    """Lets Python workers import this package: sent as a zip file, once a session. In local
+    mode, workers find it where the driver did."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        root = str(package.parent)
+        paths = context.environment.get("PYTHONPATH", "").split(":")
+        if root not in paths:
+            context.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+        return
+    name = f"{package.name}-{context.applicationId}.zip"
+    if name not in context._python_includes:
+        path = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / name
+        with zipfile.ZipFile(path, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(path))
+
+
+def send_file(spark: SparkSession, path: str) -> str:
+    """Sends a file of the driver to all executors; the name that `received` finds it by."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def received(name: str) -> str:
+    """Where a sent file lies on this machine."""
+    return SparkFiles.get(name)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where the session names none (tests), a
-    temporary one is made and set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder all executors share. Only in local mode (tests), where the session names
+    none, a temporary one is made and set."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="maillage-")
-        spark.sparkContext.setCheckpointDir(found)
+        context.setCheckpointDir(found)
     return found.rstrip("/")
 
 
@@ -60,6 +89,24 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     pa.default_memory_pool().release_unused()  # workers live on; what they keep adds up
 
 
+#: Keys with more than this share of all rows are dealt over several join keys.
+SHARE = 4096
+
+
+def joined_back(rows: DataFrame, found: DataFrame, key: str, copies: DataFrame) -> DataFrame:
+    """Rows with the columns of `found`, which has one row for a key, or nulls. copies:
+    (key, copies), the number of rows of each key.
+
+    A key with over a SHARE-th of all rows (so fewer than SHARE keys) is dealt over as many
+    join keys as it has such shares, and its row of `found` is repeated for each."""
+    most = copies.agg(F.ceil(F.sum("copies") / SHARE)).first()[0] or 1
+    hot = stored(copies.where(F.col("copies") > most).select(key, F.ceil(F.col("copies") / most).cast("int").alias("_parts")))
+    few = F.broadcast(hot)  # fewer than SHARE rows, by the bound above
+    left = rows.join(few, key, "left").withColumn("_part", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    right = found.join(few, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return left.join(right, [key, "_part"], "left").drop("_part")
+
+
 class Words:
     """Words `[^\\x20\\x09-\\x0D]+` of an array of texts (null: none).
 
