@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maillage.llm import bpe, chat, licenses, packing, simhash, sketches, substrings, topk, toxicity, warc
+from maillage.llm import alignment, bpe, chat, language, licenses, packing, simhash, sketches, substrings, topk, toxicity, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,25 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(found, found.where("vec_id % 20 = 0"), 10)
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two tokenizers, their tokens aligned."""
+    documents = table(spark, sf_dir, "documents")
+    return alignment.alignments(documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable vectors, whitened by the covariance of the different ones."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, by a model that never saw the held-out quarter."""
+    documents = table(spark, sf_dir, "documents")
+    model = language.train(documents.where(~toxicity.held_out()))
+    found = language.predicted(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_substrings": op2_substrings,
@@ -90,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_encode": op8_encode,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
+    "op11_align": op11_align,
+    "op12_whiten": op12_whiten,
+    "op13_language": op13_language,
 }
 
 ORACLES: dict[str, str] = {
