@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maillage.llm import likeness, packing, substrings, toxicity
+from maillage.llm import packing, simhash, substrings, toxicity
 from maillage.llm.common import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,14 +26,13 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard coefficient of 5-word shingles of
-    0.8 or more): the one with the smallest id. A row without an id stands for its text,
-    after all ids; of rows with one id the least text stays."""
+    """One document of each group of near copies, by operator 5 with its contract's shingles of
+    three words and at most three of 64 bits: the one with the smallest id. A row without an
+    id stands for its text, after all ids; of rows with one id the least text stays."""
     own = F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61)))
     docs = docs.select(*COLUMNS, own.alias("_id"))
-    groups = stored(likeness.grouped(docs, key="_id"))
-    kept = groups.groupBy("root").agg(F.min("_id").alias("_id")).select("_id").distinct()
-    kept = stored(groups.groupBy("_id").agg(F.count("*").alias("_rows")).join(kept, "_id"))
+    groups = simhash.grouped(simhash.fingerprints(docs, key="_id"), key="_id")
+    kept = stored(groups.where("_id = component_id").groupBy("_id").agg(F.count("*").alias("_rows")))
     once = docs.join(kept.select("_id"), "_id", "left_semi")
     if kept.where("_rows > 1").limit(1).count():
         first = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
