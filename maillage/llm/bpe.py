@@ -9,7 +9,7 @@ neighbours are all compatible is the one that the merges give.
 
 Nulls: a null text is encoded as an empty one (no ids, decoded as empty). Other columns
 are kept out of the result. Repeated rows give repeated results; long texts are encoded
-whole. The vocabulary's path is a parameter; workers read it themselves.
+whole. The vocabulary's path is a parameter; its file is sent to the workers.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from maillage.llm.common import gathered, ship, slices
+from maillage.llm.common import gathered, received, send_file, ship, slices
 
 #: How the byte-level vocabulary splits a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -229,16 +229,17 @@ class Codec:
 
 
 @cache
-def codec(path: str) -> Codec:
-    return Codec(path)
+def codec(name: str) -> Codec:
+    return Codec(received(name))
 
 
 def encoded(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, ids (little-endian unsigned 32-bit, as binary), decoded text."""
     ship(df.sparkSession)
+    name = send_file(df.sparkSession, path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = codec(path)
+        use = codec(name)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids = use.encode_all(part.column("text"))
@@ -252,9 +253,10 @@ def encoded(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") -
 def digests(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, n_tokens, SHA-256 of the ids and of the decoded text."""
     ship(df.sparkSession)
+    name = send_file(df.sparkSession, path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = codec(path)
+        use = codec(name)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for part in slices(batch, "text"):

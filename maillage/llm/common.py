@@ -133,16 +133,28 @@ class Words:
         return pc.binary_join(lists, " ").cast(pa.large_string())
 
 
-def gathered(parts: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """For each range of codes between offsets, the joined parts (4-byte items) they stand for."""
-    blob = np.frombuffer(b"".join(parts), dtype="<u4")
-    lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-    starts = np.cumsum(lengths) - lengths
+def joined_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of strings without nulls in a row, and their sizes."""
+    values = values.cast(pa.large_binary())
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+    whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    return whole[ends[0] : ends[-1]], np.diff(ends)
+
+
+def taken(items: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """For each range of codes between offsets, the joined runs of items they stand for."""
     each = lengths[codes]
     ends = np.cumsum(each)
-    items = blob[np.repeat(starts[codes] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
+    found = items[np.repeat(starts[codes] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
     bounds = np.concatenate(([0], ends))[offsets].tolist()
-    return [items[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+    return [found[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def gathered(parts: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """For each range of codes between offsets, the joined parts (4-byte items) they stand for."""
+    lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+    return taken(np.frombuffer(b"".join(parts), dtype="<u4"), np.cumsum(lengths) - lengths, lengths, codes, offsets)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ into pieces. Ties (equal lengths) go by key, then piece. An empty table gives no
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -31,110 +31,137 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from maillage.llm.common import Words, gathered, ship, slices, stored
+from maillage.llm.bpe import byte_alphabet
+from maillage.llm.common import Words, joined_bytes, received, send_file, ship, slices, stored, taken
 
 CAPACITY = 4096
 #: Expected number of pieces in a shard.
 SHARD_PIECES = 250_000
-#: Token lists of a generation of units that a worker remembers.
-REMEMBER = 200_000
+#: What closes a word for the encoder (a control character, so not in a usual unit).
+END = "\x01"
+#: Kinds of bytes of units: letters (Latin ones of two bytes too), digits, signs, others.
+LETTER, DIGIT, SIGN, OTHER = range(4)
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[0x21:0x7F] = SIGN
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+for _low, _high in ((ord("A"), ord("Z")), (ord("a"), ord("z")), (0x80, 0xBF), (0xC3, 0xC8)):
+    KINDS[_low : _high + 1] = LETTER
 
 
 class Tokens:
-    """Ids of a word-level vocabulary file, remembering the words met lately.
+    """Ids of a word-level vocabulary file.
 
-    The vocabulary drops white space and ends each word with a token that says so, so a
-    text's ids are those of its words in turn, and many words can be encoded in one call
-    and told apart again by their last tokens."""
+    The vocabulary drops white space and ends each word with a token that says so. The units
+    of a batch (runs without white space), each different one once, are split into words that
+    an END closes, and joined into one string; as END merges with a word's last byte before
+    all else, ranks of merging by ids give the vocabulary's tokens of all words in one call. The
+    last tokens of words tell the units apart again."""
 
     #: Fixed value: how this kind of vocabulary splits normalised text into words.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(self.PATTERN).findall
-        # Other scripts, white space and controls are left to the library.
-        self.usual = re.compile(r"[!-~\u00c0-\u024f]*").fullmatch
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes | None] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Ids of words, encoded in one call; None for a word that the vocabulary splits
-        otherwise than PATTERN does."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) == len(words):
-            data, start = ids.tobytes(), 0
-            for word, end in zip(words, (4 * ends).tolist(), strict=True):
-                self.words[word] = data[start:end]
-                start = end
-        elif len(words) == 1:
-            self.words[words[0]] = None
-        else:
-            self._learn_words(words[: len(words) // 2])
-            self._learn_words(words[len(words) // 2 :])
-
-    def _learn(self, units: list[str]) -> None:
-        """Encodes units (runs without white space) not met lately."""
-        split: dict[str, list[str]] = {}
-        new: set[str] = set()
-        for unit in units:
-            if not self.usual(unit) or any(s in unit for s in self.special):
-                self.units[unit] = self._whole(unit)
-                continue
-            plain = unit.lower() if unit.isascii() else self.tokenizer.normalizer.normalize_str(unit)
-            split[unit] = words = self.split(plain)
-            new.update(w for w in words if w not in self.words)
-        words = list(new)
-        for i in range(0, len(words), 2000):
-            self._learn_words(words[i : i + 2000])
-        for unit, parts in split.items():
-            ids = [self.words[w] for w in parts]
-            self.units[unit] = self._whole(unit) if None in ids else b"".join(ids)
-        if len(self.words) > REMEMBER:
-            self.words = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)["model"]
+        of, close = byte_alphabet(), spec.get("end_of_word_suffix") or "</w>"
+        vocab: dict[str, int] = spec["vocab"]
+        merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["merges"]]
+        made = [vocab[m] for m in merges]
+        ranks, closing = {}, []
+        for token, i in vocab.items():
+            word, last = (token[: -len(close)], END) if token.endswith(close) and token != close else (token, "")
+            if token not in self.special and all(c in of for c in word):
+                ranks[bytes(of[c] for c in word) + last.encode()] = i
+                closing += [i] * bool(last)
+        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.last[closing] = True
+        single = [i for t, i in ranks.items() if len(t) == 1 or (len(t) == 2 and t.endswith(END.encode()))]
+        #: Whether ids are ranks of merging, single bytes first; else the library encodes all.
+        self.ranked = made == sorted(set(made)) and len(single) == 512 and max(single) < made[0]
+        self.encode_words = Encoding("words", pat_str=f"[^{END}]+{END}", mergeable_ranks=ranks, special_tokens={}).encode_ordinary if self.ranked else None
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def closed(self, units: pa.Array) -> tuple[str, np.ndarray]:
+        """Units in a row, each word closed by END, and their numbers of words."""
+        data, sizes = joined_bytes(pc.utf8_lower(units))
+        kind = KINDS[data]
+        ends = np.ones(len(data), dtype=bool)
+        ends[:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        stops = np.cumsum(sizes)
+        ends[stops - 1] = True
+        out = np.full(len(data) + int(ends.sum()), ord(END), dtype=np.uint8)
+        out[np.arange(len(data)) + np.cumsum(ends) - ends] = data
+        return out.tobytes().decode(), np.diff(np.cumsum(ends)[stops - 1], prepend=0)
+
+    def split(self, units: pa.Array) -> tuple[str, np.ndarray]:
+        """The same by PATTERN, for units with apostrophes and signs among letters."""
+        closed = pc.replace_substring_regex(pc.utf8_lower(units), f"({self.PATTERN})", rf"\1{END}")
+        return "".join(closed.to_pylist()), pc.count_substring(closed, END).to_numpy(zero_copy_only=False)
+
+    def units(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different units in a row, and where each unit's start and how many they are."""
+        n = len(found)
+        if not n:
+            return (np.zeros(0, dtype="<u4"), *(np.zeros(0, dtype=np.int64) for _ in range(2)))
+        data, sizes = joined_bytes(found)
+        firsts = np.cumsum(sizes) - sizes
+        before = np.concatenate(([0], data[:-1]))
+        # Other scripts and controls are left to the library, and I with a dot (two letters in lower case).
+        odd = np.logical_or.reduceat((KINDS[data] == OTHER) | ((before == 0xC4) & (data == 0xB0)), firsts)
+        for special in self.special:
+            odd |= pc.match_substring(found, special).to_numpy(zero_copy_only=False)
+        odd |= not self.ranked
+        signs = (data == ord("'")) | ((before == 0xC3) & ((data == 0x97) | (data == 0xB7)))
+        slow = np.logical_or.reduceat(signs, firsts) & ~odd
+        starts, lengths = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        parts, total = [], 0
+        for which, close in ((~odd & ~slow, self.closed), (slow, self.split)):
+            if which.any():
+                text, words = close(found.filter(pa.array(which)))
+                ids = np.array(self.encode_words(text), dtype="<u4")
+                ends = np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1))[np.concatenate(([0], np.cumsum(words)))]
+                starts[which], lengths[which] = total + ends[:-1], np.diff(ends)
+                parts.append(ids)
+                total += len(ids)
+        for i in np.flatnonzero(odd).tolist():
+            parts.append(self._whole(found[i].as_py()))
+            starts[i], lengths[i] = total, len(parts[-1])
+            total += lengths[i]
+        return np.concatenate(parts), starts, lengths
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of texts (null: none) as little-endian unsigned 32-bit integers."""
         words = Words(texts)
         found, codes = words.coded()
-        units = found.to_pylist()
-        if len(self.units) > REMEMBER:
-            self.older, self.units = self.units, {}
-        missing = [u for u in units if u not in self.units]
-        self.units.update({u: self.older[u] for u in missing if u in self.older})
-        self._learn([u for u in missing if u not in self.units])
-        return gathered([self.units[u] for u in units], codes, words.offsets)
+        return taken(*self.units(found), codes, words.offsets)
 
 
 @cache
-def tokens(path: str) -> Tokens:
-    return Tokens(path)
+def tokens(name: str) -> Tokens:
+    return Tokens(received(name))
 
 
 def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, closing: int = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows (key, piece, start, length, ids_crc32) of the tokenised documents, each closed by an id."""
     ship(df.sparkSession)
+    name = send_file(df.sparkSession, path)
     end = np.array([closing], dtype="<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = tokens(path)
+        use = tokens(name)
         for batch in batches:
             for part in slices(batch, "text"):
                 rows, nth, starts, lengths, crcs = [], [], [], [], []
@@ -223,9 +250,10 @@ def match_runs(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[t
 def packed(parts: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, key: str = "doc_id") -> DataFrame:
     """The pieces with sequence_id and offset. Sequence ids: shard * 2^40 + number."""
     ship(parts.sparkSession)
-    parts = stored(parts)
+    # The number of a row deals repeated rows over the shards as well; it is written down.
+    parts = stored(parts.withColumn("_nth", F.monotonically_increasing_id()))
     shards = max(1, -(-parts.count() // shard_pieces))
-    parts = parts.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(shards)).cast("int"))
+    parts = parts.withColumn("shard", F.pmod(F.xxhash64(key, "piece", "ids_crc32", "_nth"), F.lit(shards)).cast("int"))
     runs = parts.groupBy("shard", "length").agg(F.count("*").alias("n"))
 
     def work(runs: pd.DataFrame) -> pd.DataFrame:
@@ -236,7 +264,7 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD
 
     placed = runs.groupBy("shard").applyInPandas(work, "shard int, length long, rank long, n long, sequence long, offset long")
     of_run = Window.partitionBy("shard", "length")
-    ranked = parts.withColumn("rank", F.row_number().over(of_run.orderBy(key, "piece", "ids_crc32")).cast("long") - 1)
+    ranked = parts.withColumn("rank", F.row_number().over(of_run.orderBy(key, "piece", "ids_crc32", "_nth")).cast("long") - 1)
     both = ranked.withColumn("place", F.lit(None).cast("struct<rank:long,sequence:long,offset:long>")).unionByName(
         placed.select("shard", "length", "rank", F.struct("rank", "sequence", "offset").alias("place")), allowMissingColumns=True
     )
