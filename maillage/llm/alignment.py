@@ -39,10 +39,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from maillage.llm.bpe import PATTERN, byte_alphabet
-from maillage.llm.common import joined_back, received, send_file, ship, slices, stored
+from maillage.llm.common import joined_back, joined_bytes, received, send_file, ship, slices, stored
 
 #: Bytes of texts in a chunk, and of units that a tokenizer gets in one call, about.
-CHUNK_BYTES, RUN_BYTES = 8 << 20, 1 << 13
+CHUNK_BYTES, RUN_BYTES = 4 << 20, 1 << 13
 #: Signs that start a unit after a letter.
 SIGNS = ".,;:!?"
 #: What the piece vocabulary writes for a blank.
@@ -171,10 +171,8 @@ def aligned(use: Tokens, found: pa.Array) -> Aligned:
     Units in a row are given to the tokenizers in one call, where each begins with white
     space and the one before it does not end with it."""
     n = len(found)
-    sizes = pc.binary_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(sizes)
-    data = b"".join(found.to_pylist())
-    array = np.frombuffer(data, dtype=np.uint8)
+    array, sizes = joined_bytes(found)
+    ends, data = np.cumsum(sizes), array.tobytes()
     whole = solid(array, np.maximum(ends, 3)) if n and ends[-1] >= 3 else np.zeros(n, dtype=bool)
     whole &= sizes >= 3
     # Units that begin with a sign only stand alone after a letter.
@@ -264,16 +262,16 @@ def chunk_rows(use: Tokens, digests: pa.Array, texts: pa.Array, copies: np.ndarr
     return pa.RecordBatch.from_arrays(
         [
             pa.array([digests[0].as_py()] * (n + 1), pa.binary()), pa.concat_arrays([digests.cast(pa.binary()), none(1, pa.binary())]),
-            *(pa.concat_arrays([pa.array(x, pa.int64()), none(1, pa.int64())]) for x in numbers),
+            *(pa.concat_arrays([pa.array(x, pa.int64()), none(1, pa.int64())]) for x in (copies, *numbers)),
             pa.array([*shas, None], pa.string()), pa.concat_arrays([pa.ListArray.from_arrays(ends, pa.array(codes[good], pa.int32())), one(of.unit, pa.int32())]),
             pa.concat_arrays([none(n, pa.list_(pa.int32())), one(place, pa.int32())]),
             pa.concat_arrays([none(n, pa.list_(pa.int64())), one(pairs, pa.int64())]), pa.concat_arrays([none(n, pa.list_(pa.int64())), one(counts, pa.int64())]),
         ],
-        ["chunk", "digest", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units", "places", "pairs", "counts"],
+        ["chunk", "digest", "copies", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units", "places", "pairs", "counts"],
     )
 
 
-CHUNK = "chunk binary, digest binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, units array<int>, places array<int>, pairs array<long>, counts array<long>"
+CHUNK = "chunk binary, digest binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, units array<int>, places array<int>, pairs array<long>, counts array<long>"
 
 
 def chunks(texts: DataFrame, byte_path: str, piece_path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -316,7 +314,7 @@ def summed(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     codes = flat(texts.column("units"))
     units = int(max(unit.max(initial=-1), codes.max(initial=-1))) + 1
     ends = np.concatenate(([0], np.cumsum(pc.list_value_length(texts.column("units")).to_numpy())))
-    out = {c: texts.column(c) for c in ("digest", "n_a", "n_b", "n_groups", "n_links")}
+    out = {c: texts.column(c) for c in ("digest", "copies", "n_a", "n_b", "n_groups", "n_links")}
     for name, values in (("n_best", best), ("count_sum", count)):
         of_unit = np.zeros(units, dtype=np.int64)
         np.add.at(of_unit, unit, values[place])
@@ -326,13 +324,13 @@ def summed(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def measured(texts: DataFrame, byte_path: str, piece_path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows (digest, measures) of different texts (text, copies)."""
+    """Rows (digest, copies, measures) of different texts (text, copies)."""
     aligned = stored(chunks(texts, byte_path, piece_path, chunk_bytes))
     counts = stored(pair_counts(aligned))
     asked = aligned.where("digest is null").select(F.col("chunk").alias("asking"), F.posexplode("pairs").alias("place", "pair"))
     answers = asked.join(counts, "pair").select("asking", "place", "count", "best")
-    rows = aligned.select("chunk", "digest", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units", "places")
-    kind = "digest binary, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+    rows = aligned.select("chunk", "digest", "copies", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units", "places")
+    kind = "digest binary, copies long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return rows.groupBy("chunk").cogroup(answers.groupBy("asking")).applyInArrow(summed, kind)
 
 
@@ -340,10 +338,8 @@ def alignments(df: DataFrame, byte_path: str, piece_path: str, text: str = "text
     """Rows (key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of all rows of df."""
     docs = df.select(df[key].alias("key"), df[text].alias("text"))
     some = docs.where("text <> ''")
-    texts = stored(some.groupBy("text").agg(F.count("*").alias("copies")))
-    found = measured(texts, byte_path, piece_path, chunk_bytes)
-    copies = texts.select(F.unhex(F.sha2("text", 256)).alias("digest"), "copies")
+    found = stored(measured(some.groupBy("text").agg(F.count("*").alias("copies")), byte_path, piece_path, chunk_bytes))
     digest = F.when(F.col("text") != "", F.unhex(F.sha2("text", 256)))
-    rows = joined_back(docs.select("key", digest.alias("digest")), stored(found), "digest", copies)
+    rows = joined_back(docs.select("key", digest.alias("digest")), found.drop("copies"), "digest", found.select("digest", "copies"))
     zeros = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in MEASURES]
     return rows.select(F.col("key").alias(key), *zeros, F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))
