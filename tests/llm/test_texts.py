@@ -204,4 +204,6 @@ def test_pipeline_stages(spark, docs, frame, tmp_path):
     want = {r.doc_id: r for r in substrings.thinned(documents).collect()}
     assert thin[1001].text == "tail of another kind" and thin[1000].text == "head words " + passage
     assert all(thin[k].text == v.kept for k, v in want.items() if v.n_removed)
-    assert p.run(spark, at).where("doc_id = 1001").count() == 1
+    # 1001 is a near copy of 1000; what its stage takes out doesn't come back.
+    left = {r.doc_id for r in stages["simhash near-dedup"](spark, clean, at).collect()}
+    assert {r.doc_id for r in p.run(spark, at).select("doc_id").distinct().collect()} == left and {1000, 1001} & left == {1000}
