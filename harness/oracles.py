@@ -275,10 +275,10 @@ def complete(code: str, key: str, how: str = "LEFT") -> str:
     return COMPLETE.format(code=code, key=key, how=how)
 
 
-def health(name: str) -> str:
+def health(name: str, measure: str) -> str:
     return f"""
 WITH {COMMUNE}
-SELECT c.epci_code, c.epci_nom, c.code_insee, k.c_acctbal AS {name}
+SELECT c.epci_code, c.epci_nom, c.code_insee, CAST({measure} AS DOUBLE) AS {name}
 FROM commune c JOIN customer k USING (c_custkey)
 """
 
@@ -489,10 +489,10 @@ SELECT id_epci AS siren, dept, CAST(pop AS DOUBLE) AS total_pop_tot, n AS nb_cat
        ROUND(n / NULLIF(km2, 0), 3) AS cat_nat_per_km2
 FROM dim LEFT JOIN surface ON epci_code = id_epci LEFT JOIN n ON n.siren = id_epci
 """,
-    "health_access_medecins": health("apl_medecins"),
-    "health_access_infirmiers": health("apl_infirmiers"),
-    "health_access_chirurgiens_dentiste": health("apl_chirurgiens_dentiste"),
-    "health_access_sages_femmes": health("apl_sages_femmes"),
+    "health_access_medecins": health("apl_medecins", "k.c_acctbal"),
+    "health_access_infirmiers": health("apl_infirmiers", "k.c_acctbal * 2 + k.c_nationkey"),
+    "health_access_chirurgiens_dentiste": health("apl_chirurgiens_dentiste", "c_custkey % 1000 / 4"),
+    "health_access_sages_femmes": health("apl_sages_femmes", "abs(k.c_acctbal) / 8"),
     "dim_communes": f"""
 WITH {COMMUNE}
 SELECT code_insee, nom_standard, LOWER(nom_standard) AS nom_sans_accent, reg_code,
@@ -798,6 +798,17 @@ SELECT CAST(s_suppkey AS VARCHAR) AS siren, 'Communauté d''Évry ' || s_name AS
 """,
     "csv_fixed_preamble": "SELECT p_partkey AS id, p_name AS nom, CAST(p_size AS INTEGER) AS taille FROM part",
     "csv_late_header": "SELECT s_suppkey AS supplier, CAST(s_nationkey AS INTEGER) AS nation FROM supplier",
+    "csv_permuted_columns": "SELECT p_partkey AS id, CAST(p_size AS INTEGER) AS taille FROM part",
+    "csv_stacked": """
+SELECT s_suppkey AS siren, s_name AS nom, CASE WHEN s_suppkey % 3 <> 2 THEN s_acctbal END AS valeur FROM supplier
+""",
+    "latest_partition": """
+SELECT l_orderkey, l_linenumber, l_returnflag, sheet FROM (
+    SELECT *, 'APL ' || CAST(year(l_shipdate) AS VARCHAR) AS sheet,
+           max(year(l_shipdate)) OVER (PARTITION BY l_returnflag) AS newest
+    FROM lineitem
+) WHERE year(l_shipdate) = newest
+""",
     "csv_positional": """
 SELECT o_orderpriority AS priority, CAST(o_custkey AS VARCHAR) AS customer FROM orders
 """,

@@ -15,7 +15,7 @@ from maillage.operators import geo, lookup, quality, rollup, sets
 from maillage.plans import dimensions, indicators
 from maillage.plans.indicator import Indicator
 from maillage.sinks import writers
-from maillage.sources import links, paged_json, preamble, readers, schemas, snapshots
+from maillage.sources import links, named, paged_json, preamble, readers, schemas, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,19 +239,40 @@ def counted_disasters(spark, sf):
     )
 
 
+#: The measures in the role of the four access tables, and their file's columns in each year.
+_ACCESS = {
+    "medecins": "c_acctbal",
+    "infirmiers": "c_acctbal * 2 + c_nationkey",
+    "chirurgiens_dentiste": "c_custkey % 1000 / 4",
+    "sages_femmes": "abs(c_acctbal) / 8",
+}
+
+
 def _health(spark: SparkSession, sf: str, table_name: str) -> DataFrame:
+    """One access table, as the engine's user makes it: yearly sheets below a preamble, the
+    newest chosen, its columns found by name, joined, written and read back."""
     measure, name = schemas.HEALTH_ACCESS[table_name]
-    access = table(spark, sf, "customer").select(
-        roles.area_code("c_custkey").alias(schemas.HEALTH_ACCESS_KEY),
-        F.col("c_acctbal").alias(measure),
-    )
-    return indicators.health_access(
-        access,
-        roles.communes(spark, sf),
-        code=schemas.HEALTH_ACCESS_KEY,
-        measure=measure,
-        name=name,
-    )
+    folder = roles.scratch(spark, f"access_{table_name}")
+    key = schemas.HEALTH_ACCESS_KEY
+    customer = table(spark, sf, "customer").select(
+        roles.area_code("c_custkey").alias("code"),
+        F.expr(_ACCESS[table_name]).alias("apl"),
+        F.col("c_name").alias("label"),
+    )
+    # The older sheets hold other numbers, and every sheet orders its columns in its own way.
+    orders = {"APL 2021": ("label", "code", "apl"), "APL 2022": ("apl", "code", "label"), "APL 2023": ("code", "label", "apl")}
+    titles = {"code": key, "apl": f'"{measure}"', "label": "Commune"}
+    for year, (sheet, order) in enumerate(orders.items()):
+        rows = customer.withColumn("apl", F.col("apl") + (year - 2))
+        line = F.concat_ws(";", *[_cell(c) for c in order])
+        head = "Accessibilité;2023\n\n" + ";".join(titles[c] for c in order)
+        _lines(rows, f"{folder}/sheet={sheet}", head, line)
+    files = snapshots.latest_files(spark, folder)
+    access = named.read_named(spark, files, {key: "string", measure: "double"}, keywords=preamble.HEADER_KEYWORDS, window=15)
+    result = indicators.health_access(access, roles.communes(spark, sf), code=key, measure=measure, name=name)
+    path = roles.scratch(spark, f"{name}_clean")
+    writers.write_csv(result, path, sep=";")
+    return readers.read_delimited(spark, path, result.schema, sep=";")
 
 
 @query
@@ -931,3 +952,44 @@ def layout_files(spark, sf):
     return rows.join(years, "id_epci", "left").select(
         "dept", "id_epci", "nom_epci", F.col("valeur_brute").cast("double").alias("valeur_brute"), "annee"
     )
+
+
+@query
+def csv_permuted_columns(spark, sf):
+    """Files with the same columns in two orders below a fixed preamble, picked by name."""
+    folder = roles.scratch(spark, "permuted_csv")
+    part = table(spark, sf, "part")
+    cells = {"id": _cell("p_partkey"), "nom": F.col("p_name"), "taille": _cell("p_size")}
+    for k, order in enumerate((("id", "nom", "taille"), ("taille", "id", "nom"))):
+        line = F.concat_ws(";", *[cells[c] for c in order])
+        _lines(part.where(F.col("p_partkey") % 2 == k), f"{folder}/part_{k}", "Source\n2024\n" + ";".join(order), line)
+    paths = [f"{folder}/part_0", f"{folder}/part_1"]
+    return named.read_named(spark, paths, {"id": "long", "taille": "int"}, skip=2).select("id", "taille")
+
+
+@query
+def csv_stacked(spark, sf):
+    """Three registers put below each other by name: columns in another order, one missing."""
+    folder = roles.scratch(spark, "stacked_csv")
+    supplier = table(spark, sf, "supplier").select(
+        _cell("s_suppkey").alias("siren"), F.col("s_name").alias("nom"), _cell("s_acctbal").alias("valeur")
+    )
+    orders = (("siren", "nom", "valeur"), ("valeur", "siren", "nom"), ("nom", "siren"))
+    paths = []
+    for k, order in enumerate(orders):
+        paths.append(f"{folder}/asso_{k}.csv")
+        writers.write_csv(supplier.where(F.col("siren").cast("long") % 3 == k).select(*order), paths[-1], sep=";")
+    return named.read_stacked(spark, paths, {"siren": "long", "nom": "string", "valeur": "double"})
+
+
+@query
+def latest_partition(spark, sf):
+    """Lines of the newest year of each return flag, of a table partitioned by both."""
+    path = roles.scratch(spark, "yearly_lines")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.concat(F.lit("APL "), F.year("l_shipdate").cast("string")).alias("sheet")
+    )
+    lines.write.mode("overwrite").partitionBy("l_returnflag", "sheet").parquet(path)
+    rows = spark.read.parquet(path)
+    newest = snapshots.latest_partitions(rows, dataset="l_returnflag", label="sheet")
+    return newest.select("l_orderkey", "l_linenumber", "l_returnflag", "sheet")

@@ -8,6 +8,8 @@ grouping are summed up per key first.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,11 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A folder of this application that all executors see: below the shared checkpoint
-    folder, or the warehouse where none is set. What is written there is overwritten by
-    the next call."""
+    """A new folder that all executors see: below the shared checkpoint folder, or the
+    warehouse where none is set. A frame kept from an earlier call still finds its files."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/maillage-{spark.sparkContext.applicationId}/{name}"
+    return f"{shared.rstrip('/')}/maillage-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 # --- derived codes -----------------------------------------------------------------

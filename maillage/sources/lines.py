@@ -8,6 +8,8 @@ they are joined back to the lines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +20,11 @@ from maillage.operators.lookup import spread_join
 CORRUPT = "_corrupt_record"
 
 
-def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def numbered_lines(
+    spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8"
+) -> DataFrame:
     """Lines with their file, the start of their split and an id that grows within it."""
-    lines = spark.read.text(path)
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
     if encoding.upper() not in ("UTF-8", "UTF8"):
         # The text source does not decode; its strings still hold the file's bytes.
         lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
