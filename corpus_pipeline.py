@@ -33,7 +33,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     docs = docs.select(*COLUMNS, own.alias("_id"))
     groups = simhash.grouped(simhash.fingerprints(docs, key="_id"), key="_id")
     kept = stored(groups.where("_id = component_id").groupBy("_id").agg(F.count("*").alias("_rows")))
-    once = docs.join(kept.select("_id"), "_id", "left_semi")
+    # By a shuffle at every size: the ids that stay grow with the documents.
+    once = docs.join(kept.select("_id").hint("merge"), "_id", "left_semi")
     if kept.where("_rows > 1").limit(1).count():
         first = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
         once = once.withColumn("_nth", first).where("_nth = 1")
