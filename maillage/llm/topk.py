@@ -10,9 +10,12 @@ differ by more than that in every segment). Candidates are verified by their who
 distance; a query is done once its kth distance is within what is provably covered.
 
 The stated queries are searched for in blocks: index rows are dealt over as many blocks
-as their number asks for, queries, in bundles, are sent to each, and the best k of each
-block are merged. Rows with equal codes are one entry with their k + 1 smallest ids,
-summed up before they meet, so a vector that a third of all rows have costs one entry.
+as their number asks for. A task gets a block's rows first, builds its index once and then
+streams the queries through it in bundles. All queries go to the first block; the kth
+distance found there bounds their search in the others, which ends as soon as all within
+it is covered. The best k of each block are merged. Rows with equal codes are one entry with
+their k + 1 smallest ids, summed up before they meet, so a vector that a third of all rows
+have costs one entry.
 
 The result is exact: nearest by (distance, id), a query's own row left out. Nulls: rows
 with a null vector or id are left out, null components count as not above zero, vectors
@@ -23,6 +26,7 @@ With fewer than k other rows all are given; an empty table gives no rows.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -65,10 +69,11 @@ class Block:
     def segment(self, x: np.ndarray, s: int) -> np.ndarray:
         return ((x >> np.uint64(s * self.width)) & np.uint64((1 << self.width) - 1)).astype(np.int64)
 
-    def search(self, queries: np.ndarray, k: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, k: int, sizes: np.ndarray, bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query number, code number, distance) of enough codes to hold the k nearest ids
-        of each query. sizes: how many ids a code stands for."""
+        of each query that are within its bound. sizes: how many ids a code stands for."""
         queries = queries.view(np.uint64)
+        bounds = np.full(len(queries), BITS) if bounds is None else bounds
         counts = np.zeros((len(queries), BITS + 1), dtype=np.int64)  # verified ids by distance
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         active = np.arange(len(queries))
@@ -98,7 +103,7 @@ class Block:
                     np.add.at(counts, (query, apart), sizes[code])
                     found.append((query, code, apart))
                 covered = SEGMENTS * radius + s
-                done = counts[active, : covered + 1].sum(axis=1) >= k
+                done = (counts[active, : covered + 1].sum(axis=1) >= k) | (bounds[active] <= covered)
                 active = active[~done]
                 if not len(active):
                     break
@@ -107,7 +112,7 @@ class Block:
         query, code, apart = map(np.concatenate, zip(*found, strict=True))
         # The kth distance of each query; farther codes are not needed.
         reach = np.argmax(np.cumsum(counts, axis=1) >= np.minimum(k, counts.sum(axis=1))[:, None], axis=1)
-        keep = apart <= reach[query]
+        keep = apart <= np.minimum(reach, bounds)[query]
         return query[keep], code[keep], apart[keep]
 
 
@@ -122,25 +127,43 @@ def nearest(index: DataFrame, queries: DataFrame, k: int, key: str = "vec_id") -
     blocks = max(1, -(-entries.count() // BLOCK_CODES))
     entries = entries.withColumn("block", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int"))
     asked = queries.select("code").distinct()
-    bundles = F.pmod(F.xxhash64("code", F.lit(1)), F.lit(max(1, -(-asked.count() // BUNDLE)))).cast("int")
-    asked = asked.withColumn("bundle", bundles).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    # Each pair of a block and a bundle is a task's group: both are bounded.
-    pairs = asked.select(F.col("block").alias("of_block"), F.col("bundle").alias("of_bundle")).distinct()
-    dealt = entries.join(pairs, F.col("block") == F.col("of_block")).select("of_block", "of_bundle", "code", "ids")
-
-    def work(entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        names = ["code", "near", "distance"]
-        if not len(entries) or not len(asked):
-            return pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
-        query = asked["code"].to_numpy()
-        who, code, apart = Block(entries["code"].to_numpy()).search(query, k + 1, entries["ids"].map(len).to_numpy())
-        ids = entries["ids"].to_numpy()
-        found = pd.DataFrame({"code": query[who], "near": [ids[c] for c in code], "distance": apart})
-        found = found.explode("near").astype("int64").sort_values(["code", "distance", "near"])
-        return found.groupby("code", sort=False).head(k + 1)
-
-    best = dealt.groupBy("of_block", "of_bundle").cogroup(asked.groupBy("block", "bundle")).applyInPandas(work, "code long, near long, distance int")
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, rows, built, ids, sizes = None, [], None, None, None
+        for frame in frames:
+            for block, part in frame.groupby("block", sort=True):
+                if block != at:
+                    at, rows, built = block, [], None
+                if (part["kind"] == 0).any():
+                    rows.append(part.loc[part["kind"] == 0, ["code", "ids"]])
+                wanted = part[part["kind"] == 1]
+                if not len(wanted) or not rows:
+                    continue
+                if built is None:
+                    whole = pd.concat(rows, ignore_index=True)
+                    built, ids = Block(whole["code"].to_numpy()), whole["ids"].to_numpy()
+                    sizes = whole["ids"].map(len).to_numpy()
+                for low in range(0, len(wanted), BUNDLE):
+                    some = wanted.iloc[low : low + BUNDLE]
+                    query = some["code"].to_numpy()
+                    who, code, apart = built.search(query, k + 1, sizes, some["reach"].to_numpy())
+                    found = pd.DataFrame({"code": query[who], "near": [ids[c] for c in code], "distance": apart})
+                    found = found.explode("near").astype("int64").sort_values(["code", "distance", "near"])
+                    yield found.groupby("code", sort=False).head(k + 1)
+
+    def searched(entries: DataFrame, asked: DataFrame) -> DataFrame:
+        none = F.lit(None).cast(entries.schema["ids"].dataType)
+        rows = entries.select("block", F.lit(0).alias("kind"), "code", "ids", F.lit(BITS).alias("reach"))
+        rows = rows.union(asked.select("block", F.lit(1), "code", none, "reach"))
+        return rows.repartition("block").sortWithinPartitions("block", "kind").mapInPandas(work, "code long, near long, distance int")
+
+    best = searched(entries.where("block = 0"), asked.select(F.lit(0).alias("block"), "code", F.lit(BITS).alias("reach")))
+    if blocks > 1:
+        best = stored(best)
+        reach = F.when(F.count("*") > k, F.max("distance")).otherwise(F.lit(BITS))
+        bounded = asked.join(best.groupBy("code").agg(reach.alias("reach")), "code", "left").withColumn("reach", F.coalesce("reach", F.lit(BITS)))
+        others = bounded.select(F.explode(F.sequence(F.lit(1), F.lit(blocks - 1))).alias("block"), "code", "reach")
+        best = best.union(searched(entries.where("block > 0"), others))
     first = Window.partitionBy("code").orderBy("distance", "near")
     best = best.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
     of_query = queries.select(F.col(key).alias("query_id"), "code").distinct().join(best.select("code", "near", "distance"), "code").where("near <> query_id")
