@@ -55,17 +55,22 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 
 def passages(lines: Column) -> Column:
-    """Quoted passages: (level, lines) of successive quoted lines of one level."""
-    kind = "array<struct<level:int,lines:array<string>>>"
-
-    def add(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        more = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["level"].alias("level"), F.concat(last["lines"], F.array(x["text"])).alias("lines"))))
-        fresh = F.concat(done, F.array(F.struct(x["level"].alias("level"), F.array(x["text"]).alias("lines"))))
-        return F.when((F.size(done) > 0) & (last["level"] == x["level"]), more).otherwise(fresh).cast(kind)
-
-    runs = F.aggregate(lines, F.array().cast(kind), lambda done, x: add(done, x))
-    return F.filter(runs, lambda p: p["level"] > 0)
+    """Quoted passages: (level, lines) of successive quoted lines of one level. Linear in
+    the lines: a run is cut out between the places where the level changes."""
+    at = lambda i: F.coalesce(F.get(lines, i)["level"], F.lit(-1))
+    places = F.when(F.size(lines) > 0, F.sequence(F.lit(0), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: at(i) != at(i - 1))
+
+    def runs(starts: Column) -> Column:
+        def run(start: Column, nth: Column) -> Column:
+            end = F.coalesce(F.get(starts, nth + 1), F.size(lines))
+            texts = F.transform(F.slice(lines, start + 1, end - start), lambda x: x["text"])
+            return F.struct(at(start).alias("level"), texts.alias("lines"))
+
+        return F.transform(starts, run)
+
+    every = F.element_at(F.transform(F.array(starts), runs), 1)
+    return F.filter(every, lambda p: p["level"] > 0)
 
 
 def linked(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", block_turns: int = BLOCK_TURNS) -> DataFrame:
