@@ -46,9 +46,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def quoting(messages: DataFrame) -> DataFrame:
+    """The messages as mail: each one quotes the message of the turn before it, every second
+    one wrapped anew; one line is said at the end of, and so quoted from, a third of all."""
+    chance = lambda n: F.pmod(F.xxhash64("conv_id", "turn"), F.lit(n))
+    thanks = F.when(chance(3) == 0, F.lit("\nThanks in advance.")).otherwise("")
+    said = messages.select("conv_id", "turn", "role", F.concat(F.coalesce("text", F.lit("")), thanks).alias("said"))
+    before = said.groupBy("conv_id", (F.col("turn") + 1).alias("turn")).agg(F.min("said").alias("before"))
+    wrapped = F.regexp_replace(F.regexp_replace("before", r"\s+", " "), r"(.{30,50}?) ", "$1\n")
+    quote = F.regexp_replace(F.when(chance(2) == 0, wrapped).otherwise(F.col("before")), r"(?m)^", "> ")
+    text = F.when(F.col("before").isNull(), F.col("said")).otherwise(F.concat(quote, F.lit("\n"), "said"))
+    return said.join(before, ["conv_id", "turn"], "left").select("conv_id", "turn", "role", text.alias("text"))
+
+
 def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages without quotes, with what they answer and their place in reply order."""
-    return chat.conversations(table(spark, sf_dir, "conversations"))
+    """All messages, each quoting the one before it, without their quotes again: with what
+    they answer and their place in reply order."""
+    return chat.conversations(quoting(table(spark, sf_dir, "conversations")))
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +80,11 @@ def op8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as WARC records, and read back through the capture index."""
-    captures = warc.written(table(spark, sf_dir, "pages"))
-    blocks, _ = warc.indexed(captures)
-    found = warc.records(warc.opened(blocks))
+    """All pages written as WARC records, looked up by their addresses in the capture index
+    and read back from the ranges it gives."""
+    pages = table(spark, sf_dir, "pages")
+    blocks, directory = warc.indexed(warc.written(pages))
+    found = warc.records(warc.looked_up(blocks, directory, pages.select("url")))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
