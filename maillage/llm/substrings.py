@@ -24,8 +24,9 @@ Words are compared as text in the index; hashes only choose who meets whom. Docu
 told apart by key and a hash of their text, so a repeated row is treated like its twin
 (neither is before the other), and rows with one key and different texts are different
 documents of equal rank, of which the smaller hash counts as the earlier. A null key
-comes after all others. Null and empty texts have no words. An empty table gives no rows.
-Texts of over 2^27 words are refused.
+comes after all others; documents without a key are told apart by 69 bits of two hashes.
+Null and empty texts have no words. Texts of any length are taken whole. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,10 @@ GRAM = 8
 MOST = 16
 SHARD_WORDS = 1_000_000
 LAST_KEY = (1 << 63) - 1
+#: Bits of a text's hash that tell documents of one key apart, and of another one in the
+#: stead of a null key. With the start of a stretch (30 bits: a text of 2 GB has fewer words)
+#: and its windows, the first make one number, in the order of documents and starts.
+MARK_BITS, NULL_BITS, START_BITS = 29, 40, 30
 
 
 class Bits:
@@ -218,18 +223,24 @@ def stretches_of(words: Words, length: int, gram: int) -> dict[str, np.ndarray]:
 
 
 def _place(start: np.ndarray, mark: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Start, 32 bits of the text's hash and number of windows in one sortable number."""
-    return start.astype(np.int64) << 36 | mark.astype(np.int64) << 4 | (n.astype(np.int64) - 1)
+    """Bits of the text's hash, start and number of windows in one sortable number."""
+    return mark.astype(np.int64) << START_BITS + 4 | start.astype(np.int64) << 4 | (n.astype(np.int64) - 1)
 
 
 def _unplace(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return place >> 36, (place & 15) + 1
+    return place >> 4 & (1 << START_BITS) - 1, (place & 15) + 1
+
+
+def identity(df: DataFrame, text: str, key: str) -> list[Column]:
+    """key without null, and mark: together they name a document."""
+    unnamed = F.lit(LAST_KEY) - F.pmod(F.xxhash64(df[text], F.lit(1)), F.lit(1 << NULL_BITS))
+    mark = F.pmod(F.xxhash64(df[text]), F.lit(1 << MARK_BITS))
+    return [F.coalesce(df[key].cast("long"), unnamed).alias("key"), mark.alias("mark")]
 
 
 def keyed(df: DataFrame, text: str, key: str) -> DataFrame:
-    """(key, mark, text): the key without null, 32 bits of the text's hash."""
-    mark = F.pmod(F.xxhash64(df[text]), F.lit(1 << 32))
-    return df.select(F.coalesce(df[key].cast("long"), F.lit(LAST_KEY)).alias("key"), mark.alias("mark"), df[text].alias("text"))
+    """(key, mark, text, id): what names a document, its text, and its key as it is."""
+    return df.select(*identity(df, text, key), df[text].alias("text"), df[key].alias("id"))
 
 
 def places(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -242,8 +253,6 @@ def places(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
             found = []
             for part in slices(batch, "text"):
                 words = Words(part.column("text"))
-                if len(words.flat) >= 1 << 27:
-                    raise ValueError("a text has too many words")
                 s = stretches_of(words, length, gram)
                 key, mark = (part.column(c).to_numpy()[s["text"]] for c in ("key", "mark"))
                 found.append((s["anchor"], s["content"], key, _place(s["start"], mark, s["n"]), s["again"]))
@@ -287,7 +296,7 @@ def search(stretches: pd.DataFrame, length: int) -> pd.DataFrame:
     counts = np.diff(words.offsets) + 1  # with the mark after it
     owner = np.repeat(np.arange(len(counts)), counts)
     within = np.arange(len(owner)) - index.starts[owner]
-    mark = place >> 4 & 0xFFFFFFFF
+    mark = place >> START_BITS + 4
     order = np.lexsort((start[owner] + within, mark[owner], key[owner]))
     standing = np.empty(len(order), dtype=np.int64)
     standing[order] = np.arange(len(order))
@@ -309,7 +318,7 @@ def doubled(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     """Rows (key, mark, places): windows of each document that also start earlier."""
     ship(docs.sparkSession)
     seen = stored(places(docs, length, gram))
-    mark = F.shiftright("place", 4).bitwiseAND(F.lit((1 << 32) - 1)).alias("mark")
+    mark = F.shiftright("place", START_BITS + 4).alias("mark")
     heads = seen.where("not goes").groupBy("key", mark).agg(F.collect_list(F.struct("place", "anchor")).alias("heads"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,10 +386,10 @@ def thinned(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
         for batch in batches:
             for part in slices(batch, "text"):
                 counts, removed, kept = take_out(part.column("text"), part.column("places"), length)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(counts), pa.array(removed), kept], ["key", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(counts), pa.array(removed), kept], ["id", "n_words", "n_removed", "kept"])
 
-    out = docs.join(doubled(docs, length, gram), ["key", "mark"], "left").select("key", "text", "places").mapInArrow(work, "key long, n_words long, n_removed long, kept string")
-    return out.select(F.when(F.col("key") != LAST_KEY, F.col("key")).cast(kind).alias(key), "n_words", "n_removed", "kept")
+    out = docs.join(doubled(docs, length, gram), ["key", "mark"], "left").select("id", "text", "places").mapInArrow(work, f"id {kind}, n_words long, n_removed long, kept string")
+    return out.withColumnRenamed("id", key)
 
 
 def cleaned(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", key: str = "doc_id", chars: str = "n_chars") -> DataFrame:
@@ -388,7 +397,7 @@ def cleaned(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
     a space, where something went (`chars`: code points of the new text); as it is elsewhere."""
     ship(df.sparkSession)
     names, own = df.columns, keyed(df, text, key)
-    rows = df.select(F.struct(*names).alias("row"), *(F.coalesce(df[key].cast("long"), F.lit(LAST_KEY)).alias("key"), F.pmod(F.xxhash64(df[text]), F.lit(1 << 32)).alias("mark")))
+    rows = df.select(F.struct(*names).alias("row"), *identity(df, text, key))
     met = rows.join(doubled(own, length, gram), ["key", "mark"], "left").select(F.col(f"row.{text}").alias("text"), "places", "row")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
