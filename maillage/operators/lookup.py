@@ -5,12 +5,52 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maillage.operators.rollup import any_values
 
 
+#: A key is hot if more than this share of all facts have it; so fewer keys than that are.
+HOT_SHARE = 1000
+
+
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether the session's adaptive execution splits skewed joins."""
+    on = lambda name: spark.conf.get(name, "true").lower() == "true"
+    return on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")
+
+
+def hot_keys(facts: DataFrame, keys: Sequence[Column], share: int = HOT_SHARE) -> DataFrame:
+    """Keys that over a ``share``-th of the facts have, as ``_hot0, _hot1, ...``, and in how
+    many parts they are to be dealt (``_parts``). Fewer than ``share`` rows.
+
+    The counts are summed up before the shuffle and come from one pass over the facts'
+    keys, all of them; nothing is sampled.
+    """
+    names = [f"_hot{i}" for i in range(len(keys))]
+    known = reduce(lambda a, b: a & b, [k.isNotNull() for k in keys])
+    counts = facts.where(known).select(*[k.alias(n) for n, k in zip(names, keys)]).groupBy(*names).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    most = max(-(-total // share), 1)
+    return counts.where(F.col("_n") > most).select(*names, F.ceil(F.col("_n") / most).cast("int").alias("_parts"))
+
+
+def salted(
+    left: DataFrame, right: DataFrame, names: Sequence[str], share: int = HOT_SHARE
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``names`` with ``_salt``, a further join key: rows of a hot key
+    are dealt over its parts on the left and repeated for each part on the right."""
+    hot = hot_keys(left, [F.col(n) for n in names], share)
+    match = [f"_hot{i}" for i in range(len(names))]
+    few = F.broadcast(hot.withColumnsRenamed(dict(zip(match, names))))  # fewer than `share` rows
+    part = F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int")
+    dealt = left.join(few, list(names), "left").withColumn("_salt", F.coalesce(part, F.lit(0)))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    repeated = right.join(few, list(names), "left").withColumn("_salt", every)
+    return dealt.drop("_parts"), repeated.drop("_parts")
+
+
 def spread_join(
     facts: DataFrame,
     table: DataFrame,
@@ -33,6 +73,10 @@ def spread_join(
     hash, which deals them out, and rows with null keys are dealt by ``deal``, columns of
     the facts, if given. Nothing but keys and ``deal`` is read for the join, and filters
     on the result reach the scan.
+
+    Where the session's adaptive execution does not split skewed joins, the join does so
+    itself: keys that a thousandth of the facts share are counted first, dealt over
+    several tasks, and the table's rows for them repeated (``salted``).
     """
     for fact_key, table_key in keys:
         left_type = facts.select(fact_key).schema[0].dataType
@@ -60,7 +104,12 @@ def spread_join(
         F.xxhash64(*[k for _, k in keys]).alias("_deal"),
         *[c.alias(n) for n, c in (take or {}).items()],
     )
-    return left.join(right, [*names, "_deal"], how).drop(*names, "_deal")
+    if splits_skew(facts.sparkSession):
+        return left.join(right, [*names, "_deal"], how).drop(*names, "_deal")
+    left, right = salted(left, right, names)
+    return left.join(right, [*names, "_deal", "_salt"], how).drop(*names, "_deal", "_salt").select(
+        *facts.columns, *(take or {})
+    )
 
 
 def first_match(table: DataFrame, key: str, value: str) -> DataFrame:

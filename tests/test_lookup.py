@@ -9,6 +9,7 @@ from maillage.operators.lookup import (
     drop_members,
     fill_missing,
     first_match,
+    hot_keys,
     keep_by_rules,
     keep_members,
     match_by_name_and_prefix,
@@ -237,3 +238,43 @@ def test_rows_without_lookup_are_dealt_out(spark, small_skew):
     per_partition = joined.groupBy(F.spark_partition_id()).count().collect()
     assert joined.count() == 8_000
     assert max(r["count"] for r in per_partition) < 4_000
+
+
+@pytest.fixture
+def no_adaptive(spark):
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    old = {n: spark.conf.get(n) for n in names}
+    for name, value in zip(names, ("false", "-1", "64")):
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_hot_keys_are_split_without_adaptive_execution(spark, no_adaptive, how):
+    """The library deals a hot key over tasks itself, and joins what the plain join does."""
+    facts = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("n"),
+    )
+    table = spark.range(0, 20_000, 2, 4).select(
+        F.when(F.col("id") < 10, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("string").alias("v"),
+    )
+    once = first_match(table, "k", "v")
+    take = {"v": F.col("v")} if how in ("left", "inner") else None
+    joined = spread_join(facts, once, keys=[(F.col("k"), F.col("k"))], take=take, how=how)
+    plain = facts.join(once.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), how)
+    assert joined.columns == ["k", "n", *(take or {})]
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.select(*joined.columns).collect()))
+    if how != "left_anti":
+        hot = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in hot) == 6_667 and max(r["count"] for r in hot) < 1_500
+
+
+def test_hot_keys_are_counted_over_all_facts(spark):
+    facts = spark.range(0, 10_000).select(F.when(F.col("id") < 5_000, 1).otherwise(F.col("id")).alias("a"), F.lit("x").alias("b"))
+    got = hot_keys(facts, [F.col("a"), F.col("b")], share=100).collect()
+    assert [tuple(r) for r in got] == [(1, "x", 50)]
+    assert hot_keys(facts.limit(0), [F.col("a")]).count() == 0
