@@ -798,6 +798,11 @@ SELECT CAST(s_suppkey AS VARCHAR) AS siren, 'Communauté d''Évry ' || s_name AS
 """,
     "csv_fixed_preamble": "SELECT p_partkey AS id, p_name AS nom, CAST(p_size AS INTEGER) AS taille FROM part",
     "csv_late_header": "SELECT s_suppkey AS supplier, CAST(s_nationkey AS INTEGER) AS nation FROM supplier",
+    "csv_split_records": """
+SELECT doc_id AS id, CAST(length(t) AS INTEGER) AS n_chars, sha256(t) AS digest FROM (
+    SELECT doc_id, '<' || translate(text, '"\\' || chr(13), '') || '>' AS t FROM documents WHERE doc_id % 10 <> 3
+)
+""",
     "csv_permuted_columns": "SELECT p_partkey AS id, CAST(p_size AS INTEGER) AS taille FROM part",
     "csv_stacked": """
 SELECT s_suppkey AS siren, s_name AS nom, CASE WHEN s_suppkey % 3 <> 2 THEN s_acctbal END AS valeur FROM supplier

@@ -15,7 +15,7 @@ from maillage.operators import geo, lookup, quality, rollup, sets
 from maillage.plans import dimensions, indicators
 from maillage.plans.indicator import Indicator
 from maillage.sinks import writers
-from maillage.sources import links, named, paged_json, preamble, readers, schemas, snapshots
+from maillage.sources import links, named, paged_json, preamble, readers, records, schemas, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -993,3 +993,20 @@ def latest_partition(spark, sf):
     rows = spark.read.parquet(path)
     newest = snapshots.latest_partitions(rows, dataset="l_returnflag", label="sheet")
     return newest.select("l_orderkey", "l_linenumber", "l_returnflag", "sheet")
+
+
+def _broken_lines(spark: SparkSession, sf: str, name: str) -> tuple[str, T.StructType]:
+    """Documents as quoted cells with their line breaks, of which some rows hold no number."""
+    path = roles.scratch(spark, name)
+    plain = F.concat(F.lit('"<'), F.translate("text", '"\\\r', ""), F.lit('>"'))
+    number = F.when(F.col("doc_id") % 10 == 3, F.lit("none")).otherwise(_cell("doc_id"))
+    _lines(table(spark, sf, "documents"), path, "id;text", F.concat_ws(";", number, plain))
+    return path, T.StructType.fromDDL("id long, text string")
+
+
+@query
+def csv_split_records(spark, sf):
+    """Quoted line breaks in files that many tasks read, malformed records left out."""
+    path, schema = _broken_lines(spark, sf, "split_records")
+    rows = records.read_records(spark, path, schema, sep=";", mode="DROPMALFORMED")
+    return rows.select("id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("digest"))
