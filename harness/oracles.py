@@ -650,6 +650,11 @@ WHERE CASE p_name
         WHEN 'hot plate' THEN (p_type = 'SMALL' AND p_size IN (1, 2, 3, 5, 8))
                            OR (p_type = 'MEDIUM' AND p_size NOT IN (1, 2, 3, 5, 8))
         ELSE TRUE END
+""",
+    "rules_table": """
+SELECT p_partkey, p_name, p_type, p_size FROM (
+    SELECT *, min(p_type) OVER (PARTITION BY p_name) AS first_type FROM part
+) WHERE p_name[1] NOT IN ('r', 's') OR (p_type = first_type AND p_size <> 13)
 """,
     "semi_members": """
 SELECT c_custkey, c_mktsegment FROM customer

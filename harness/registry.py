@@ -558,6 +558,15 @@ def rules_filter(spark, sf):
     )
 
 
+@query
+def rules_table(spark, sf):
+    """A rule for each name that begins with r or s: its first type, without size 13."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    rules = part.where(F.left("p_name", F.lit(1)).isin("r", "s")).groupBy(F.col("p_name").alias("place")).agg(F.min("p_type").alias("area"))
+    rules = rules.withColumn("only", F.lit(None).cast("array<int>")).withColumn("without", F.array(F.lit(13)))
+    return lookup.keep_by_rule_table(part, rules, place="p_name", area="p_type", item="p_size")
+
+
 @query
 def semi_members(spark, sf):
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")

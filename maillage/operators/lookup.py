@@ -213,3 +213,32 @@ def keep_by_rules(
     for name, predicate in (special or {}).items():
         keep = keep.when(F.col(place) == name, predicate)
     return df.where(keep.otherwise(F.lit(True)))
+
+
+def keep_by_rule_table(
+    df: DataFrame, rules: DataFrame, *, place: str, area: str, item: str
+) -> DataFrame:
+    """Disambiguate places by a table of rules, however many.
+
+    ``rules`` has the columns place, area, only and without (arrays of items). A row at a
+    place with rules is kept if one of them fits: its area is the row's, its ``only`` holds
+    the row's item (null: any item), its ``without`` does not (null: none). Places without
+    rules are kept, null places too. The rules of a place meet in one row first, and are
+    joined once; the plan does not grow with them.
+    """
+    for name in ("only", "without"):
+        kind = rules.schema[name].dataType.elementType
+        if kind != df.schema[item].dataType:
+            raise TypeError(f"items differ in type: {kind} and {df.schema[item].dataType}")
+    rule = F.struct("area", "only", "without")
+    of_place = rules.where(F.col("place").isNotNull()).groupBy("place").agg(F.collect_list(rule).alias("_rules"))
+    met = spread_join(
+        df, of_place, keys=[(F.col(place), F.col("place"))], take={"_rules": F.col("_rules")}
+    )
+
+    def fits(r: Column) -> Column:
+        allowed = r["only"].isNull() | F.array_contains(r["only"], F.col(item))
+        barred = r["without"].isNotNull() & F.array_contains(r["without"], F.col(item))
+        return F.coalesce((r["area"] == F.col(area)) & allowed & ~F.coalesce(barred, F.lit(False)), F.lit(False))
+
+    return met.where(F.col("_rules").isNull() | F.exists("_rules", fits)).drop("_rules")

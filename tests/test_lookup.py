@@ -10,6 +10,7 @@ from maillage.operators.lookup import (
     fill_missing,
     first_match,
     hot_keys,
+    keep_by_rule_table,
     keep_by_rules,
     keep_members,
     match_by_name_and_prefix,
@@ -278,3 +279,35 @@ def test_hot_keys_are_counted_over_all_facts(spark):
     got = hot_keys(facts, [F.col("a"), F.col("b")], share=100).collect()
     assert [tuple(r) for r in got] == [(1, "x", 50)]
     assert hot_keys(facts.limit(0), [F.col("a")]).count() == 0
+
+
+RULES = "place string, area string, only array<string>, without array<string>"
+
+
+def test_rules_from_a_table(frame, rows):
+    df = frame(
+        "ville string, dep string, media string",
+        ("Valence", "82", "VFM"), ("Valence", "26", "VFM"), ("Valence", "26", "autre"), ("Valence", "82", "autre"),
+        ("Verdun", "55", "x"), ("Verdun", "09", "x"), ("Verdun", None, "x"), ("Verdun", "55", None),
+        ("Ailleurs", "01", "x"), (None, "01", "x"),
+    )
+    rules = frame(RULES, ("Valence", "82", ["VFM"], None), ("Valence", "26", None, ["VFM"]), ("Verdun", "55", None, None), (None, "01", None, None))
+    kept = keep_by_rule_table(df, rules, place="ville", area="dep", item="media")
+    assert rows(kept) == rows(df.where("ville is null or ville = 'Ailleurs' or (ville = 'Verdun' and dep = '55') or (dep = '82' and media = 'VFM') or (dep = '26' and media <> 'VFM')"))
+    assert kept.columns == df.columns
+    assert rows(keep_by_rule_table(df, rules.limit(0), place="ville", area="dep", item="media")) == rows(df)
+    with pytest.raises(TypeError, match="items"):
+        keep_by_rule_table(df.withColumn("media", F.lit(1)), rules, place="ville", area="dep", item="media")
+
+
+def test_many_rules_do_not_swell_the_plan(spark, frame):
+    df = spark.range(30_000).select(F.concat(F.lit("p"), F.col("id") % 15_000).alias("ville"), (F.col("id") % 3).cast("string").alias("dep"), F.lit("m").alias("media"))
+
+    def with_rules(n):
+        rules = spark.range(n).select(F.concat(F.lit("p"), "id").alias("place"), F.lit("1").alias("area"), F.lit(None).cast("array<string>").alias("only"), F.array(F.lit("z")).alias("without"))
+        return keep_by_rule_table(df, rules, place="ville", area="dep", item="media")
+
+    size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString())
+    many = with_rules(10_000)
+    assert abs(size(many) - size(with_rules(10))) < 50
+    assert many.count() == 30_000 - df.where("cast(substring(ville, 2) as int) < 10000 and dep <> '1'").count()
